@@ -119,8 +119,9 @@ def artifact_check(spark, sf_dir):
         .otherwise('"feature_columns": ["b", "a", "c"], "feature_engineering": {"status": "completed"}}'),
     )
     importance = F.when(F.expr("o_custkey % 3 = 0"), F.lit("{}")).otherwise('{"status": "completed"}')
-    issues = ops.artifact_issues(baseline, tuned, importance)
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(issues, "|").alias("issues"))
+    documents = table(spark, sf_dir, "orders").select("o_orderkey", baseline.alias("b"), tuned.alias("t"), importance.alias("i"))
+    checked = ops.artifact_issues(documents, "b", "t", "i")
+    return checked.select("o_orderkey", F.array_join("issues", "|").alias("issues"))
 
 
 @query("""with f as (select l_suppkey, list_sort(list(distinct l_returnflag) filter (l_linestatus = 'F' and l_quantity > 49)) as base,

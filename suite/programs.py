@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.quality import _flagged
 from suite.registry import query, scratch, table
 from suite.standins import BANDS_SQL, DIRTY_SQL, HASH, KEY, KEYS, LINES, band_lines, dirty_lines
 from tallyforge.operators import quality, reports
@@ -66,10 +65,14 @@ def _figures(report):
 
 
 def _report(spark, sf_dir):
+    folder = scratch(spark)
     raw = quality.read_missing_tokens(dirty_lines(spark, sf_dir))
-    split = mark_split(quality.keep_clean(quality.flag_rows(raw, LINES), LINES), "flag", key=KEY).drop(*KEY)
+    tables.write_parquet(quality.flag_rows(raw, LINES), f"{folder}/flagged")
+    flagged = tables.read_parquet(spark, f"{folder}/flagged")
+    tables.write_parquet(mark_split(quality.keep_clean(flagged, LINES), "flag", key=KEY).drop(*KEY), f"{folder}/split")
+    split = tables.read_parquet(spark, f"{folder}/split")
     return reports.preparation_report(
-        quality.quality_report(_flagged(spark, sf_dir), LINES, LINES.required), split, LINES, source="lineitem", dropped=KEY,
+        quality.quality_report(flagged, LINES, list(LINES.required)), split, LINES, source="lineitem", dropped=KEY,
         clean_features=list(LINES.numeric), added=added_columns(split, engineer(split, LINES)), files={"clean_train_parquet": "train_clean.parquet"},
     )
 

@@ -53,7 +53,7 @@ def quality_flags(spark, sf_dir):
     flagged = ops.flag_rows(_raw(spark, sf_dir), LINES)
     return flagged.select(
         *KEY, F.col("_missing").alias("missing"), F.col("_malformed").alias("malformed"),
-        F.col("_unknown").alias("unknown"), F.col("_drop").alias("dropped"),
+        F.col("_unknown").alias("unknown"), ops.dropped().alias("dropped"),
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, NumericType, StringType
 
@@ -15,6 +17,15 @@ INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
+def select_once(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
+    """Select of costly columns that are worked out once per row.
+
+    A filter on top of a plain select is pushed below it and repeats the expressions it refers
+    to; ``inline`` of a single struct yields columns that are only referred to.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def null_if_token(text: Column, tokens: tuple[str, ...] = MISSING_TOKENS) -> Column:
     """NULL where the untrimmed text is one of the missing tokens."""
     return F.when(~text.isin(*tokens), text)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.labels import decode_label, invert_labels
-from tallyforge.functions.parsing import strict_double
+from tallyforge.functions.parsing import select_once, strict_double
 from tallyforge.models.forest import model_features
 from tallyforge.operators.features import engineer
 from tallyforge.sources.tables import select_required
@@ -23,11 +25,11 @@ def coerce_inputs(df: DataFrame, spec: TableSpec, keep_raw: bool = False) -> Dat
     """The raw feature columns as numbers; ``keep_raw`` carries the cells as they came in a struct."""
     fields = {f.name: f.dataType for f in select_required(df, spec.numeric).schema.fields}
     raw = [F.struct(*spec.numeric).alias(RAW)] if keep_raw else []
-    return df.select(*raw, *[strict_double(F.col(c), fields[c]).alias(c) for c in spec.numeric])
+    return select_once(df, [*raw, *[strict_double(F.col(c), fields[c]).alias(c) for c in spec.numeric]])
 
 
 def _invalid(columns: Sequence[str]) -> Column:
-    return F.array_contains(F.transform(F.array(*columns), lambda c: c.isNull()), True)
+    return reduce(or_, [F.col(c).isNull() for c in columns])
 
 
 def split_valid(inputs: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:

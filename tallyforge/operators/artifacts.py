@@ -57,41 +57,40 @@ def is_feature_subset(base: Column, tuned: Column) -> Column:
     return F.size(missing_features(base, tuned)) == 0
 
 
-def artifact_issues(baseline: Column, tuned: Column, importance: Column) -> Column:
-    """Messages about three JSON documents that do not fit together."""
-
-    def texts(document: Column, key: str) -> Column:
-        return F.from_json(F.get_json_object(document, f"$.{key}"), "array<string>")
-
-    def is_list(document: Column, key: str) -> Column:
-        return F.coalesce(F.get_json_object(document, f"$.{key}").startswith("["), F.lit(False))
-
-    def size(document: Column, key: str) -> Column:
-        return F.coalesce(F.size(texts(document, key)), F.lit(0))
-
-    def unfinished(document: Column) -> Column:
-        return ~F.coalesce(F.get_json_object(document, "$.status") == "completed", F.lit(False))
-
-    raw = [F.coalesce(F.get_json_object(d, "$.feature_columns"), F.lit("[]")) for d in (baseline, tuned)]
-    lists = [F.from_json(r, "array<string>") for r in raw]
-    differ = raw[0] != raw[1]
-    engineered = F.coalesce(F.get_json_object(tuned, "$.feature_engineering.status") == "completed", F.lit(False))
-    subset = F.coalesce(is_feature_subset(*lists), F.lit(False))
-    order, matrix = "class_label_order", "confusion_matrix"
-    no_order = ~is_list(tuned, order) | (size(tuned, order) == 0)
-    no_match = (F.get_json_object(tuned, f"$.{matrix}").isNotNull() & ~is_list(tuned, matrix)) | (
-        size(tuned, matrix) != size(tuned, order)
+def artifact_issues(df: DataFrame, baseline: str, tuned: str, importance: str, into: str = "issues") -> DataFrame:
+    """Add the messages about three JSON documents that do not fit together.
+
+    Every document is parsed once; the rest works on its top-level values.
+    """
+    rest = [c for c in df.columns if c not in (baseline, tuned, importance)]
+    names = {baseline: "_b", tuned: "_t", importance: "_i"}
+    value = lambda document, key: F.try_element_at(document, F.lit(key))
+    opened = df.select(*rest, *[F.from_json(c, "map<string,string>").alias(short) for c, short in names.items()])
+    order, matrix = value("_t", "class_label_order"), value("_t", "confusion_matrix")
+    features = {s: F.coalesce(value(s, "feature_columns"), F.lit("[]")) for s in ("_b", "_t")}
+    as_list = lambda text: F.from_json(text, "array<string>")
+    facts = opened.select(
+        *rest,
+        *[(~F.coalesce(value(s, "status") == "completed", F.lit(False))).alias(f"_open{s}") for s in names.values()],
+        F.size(F.coalesce(as_list(order), F.array())).alias("_order"),
+        F.size(F.coalesce(as_list(matrix), F.array())).alias("_matrix"),
+        F.coalesce(~matrix.startswith("["), F.lit(False)).alias("_no_matrix"),
+        (features["_b"] != features["_t"]).alias("_differ"),
+        F.coalesce(F.get_json_object(value("_t", "feature_engineering"), "$.status") == "completed", F.lit(False)).alias("_engineered"),
+        *[as_list(text).alias(f"_features{s}") for s, text in features.items()],
     )
+    subset = F.coalesce(is_feature_subset(F.col("_features_b"), F.col("_features_t")), F.lit(False))
     tests = {
-        "baseline": unfinished(baseline),
-        "tuned": unfinished(tuned),
-        "importance": unfinished(importance),
-        "order": no_order,
-        "matrix": no_match,
-        "engineered": differ & engineered & ~subset,
-        "features": differ & ~engineered,
+        "baseline": F.col("_open_b"),
+        "tuned": F.col("_open_t"),
+        "importance": F.col("_open_i"),
+        "order": F.col("_order") == 0,
+        "matrix": F.col("_no_matrix") | (F.col("_matrix") != F.col("_order")),
+        "engineered": F.col("_differ") & F.col("_engineered") & ~subset,
+        "features": F.col("_differ") & ~F.col("_engineered"),
     }
-    return F.array_compact(F.array(*[F.when(test, F.lit(ISSUES[name])) for name, test in tests.items()]))
+    messages = F.array_compact(F.array(*[F.when(test, F.lit(ISSUES[name])) for name, test in tests.items()]))
+    return facts.select(*rest, messages.alias(into))
 
 
 def metrics_available(payload: Column) -> Column:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tallyforge.functions.labels import encode_label
-from tallyforge.functions.parsing import is_missing, null_if_token, strict_double, tidy_label
+from tallyforge.functions.parsing import is_missing, null_if_token, select_once, strict_double, tidy_label
 from tallyforge.spec import TableSpec
 
-MISSING_ROW, MALFORMED_ROW, UNKNOWN_ROW, DROP_ROW = "_missing", "_malformed", "_unknown", "_drop"
-BAD_CELLS, EMPTY_CELLS, LABEL_TEXT = "_bad_cells", "_empty_cells", "_label_text"
+ROW_FLAGS = MISSING_ROW, MALFORMED_ROW, UNKNOWN_ROW = "_missing", "_malformed", "_unknown"
+EMPTY, BAD, LABEL_TEXT = "_empty_", "_bad_", "_label_text"
 
 
 def check_columns(df: DataFrame, spec: TableSpec) -> None:
@@ -60,19 +60,12 @@ def read_missing_tokens(df: DataFrame) -> DataFrame:
     )
 
 
-def _names_where(tests: list[tuple[str, Column]]) -> Column:
-    """Array of the names whose test holds."""
-    if not tests:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests]))
-
-
 def _any(tests: list[Column]) -> Column:
     return reduce(or_, tests, F.lit(False))
 
 
 def flag_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Coerced table with one flag per reason and the names of empty and malformed cells.
+    """Coerced table with one flag per reason, and one per column for empty and malformed cells.
 
     ``_missing`` looks at the cells as they came in; ``_malformed`` at those that stop being a
     value when read as a number, on rows that are not missing; ``_unknown`` at labels outside
@@ -80,35 +73,35 @@ def flag_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     checks = check_features(df, spec)
-    empty = {name: is_missing(F.col(name), dtype) for name, dtype in fields.items()}
-    number = {name: F.col(f"_num_{name}") for name in checks}
-
-    parsed = df.select("*", *[strict_double(F.col(c), fields[c]).alias(f"_num_{c}") for c in checks])
-    target = F.col(spec.target)
-    flagged = parsed.select(
-        *[number[n].alias(n) if n in number else F.col(n) for n in df.columns if n != spec.target],
-        encode_label(tidy_label(target), spec.labels).alias(spec.target),
-        tidy_label(target).alias(LABEL_TEXT),
-        _names_where(list(empty.items())).alias(EMPTY_CELLS),
-        _names_where([(c, ~empty[c] & number[c].isNull()) for c in checks]).alias(BAD_CELLS),
-        _any([empty[c] for c in [*checks, spec.target]]).alias(MISSING_ROW),
+    label = tidy_label(F.col(spec.target))
+    parsed = select_once(
+        df,
+        [
+            *[strict_double(F.col(n), fields[n]).alias(n) if n in checks else F.col(n) for n in df.columns if n != spec.target],
+            encode_label(label, spec.labels).alias(spec.target),
+            label.alias(LABEL_TEXT),
+            *[is_missing(F.col(n), dtype).alias(EMPTY + n) for n, dtype in fields.items()],
+        ],
     )
-    # ``spec.target`` is the encoded label from here on.
+    bad = {n: F.col(n).isNull() & ~F.col(EMPTY + n) for n in checks}
+    missing = _any([F.col(EMPTY + n) for n in [*checks, spec.target]])
     unknown = F.col(LABEL_TEXT).isNotNull() & F.col(spec.target).isNull()
-    malformed = (F.size(BAD_CELLS) > 0) & ~F.col(MISSING_ROW)
-    return flagged.select(
+    return parsed.select(
         "*",
-        malformed.alias(MALFORMED_ROW),
+        *[test.alias(BAD + n) for n, test in bad.items()],
+        missing.alias(MISSING_ROW),
+        (_any(list(bad.values())) & ~missing).alias(MALFORMED_ROW),
         unknown.alias(UNKNOWN_ROW),
-        (F.col(MISSING_ROW) | malformed | unknown).alias(DROP_ROW),
     )
 
 
 def keep_clean(flagged: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows without a flag: features and the encoded target."""
-    helpers = {MISSING_ROW, MALFORMED_ROW, UNKNOWN_ROW, DROP_ROW, BAD_CELLS, EMPTY_CELLS, LABEL_TEXT}
-    kept = [name for name in flagged.columns if name not in helpers]
-    return flagged.filter(~F.col(DROP_ROW)).select(*kept)
+    """Rows without a flag: features and the encoded target.
+
+    Those are the rows whose check columns and code are all present, which is the cheaper test.
+    """
+    kept = [n for n in flagged.columns if not n.startswith((EMPTY, BAD)) and n not in ROW_FLAGS and n != LABEL_TEXT]
+    return flagged.dropna(subset=[*check_features(flagged, spec), spec.target]).select(*kept)
 
 
 def clean_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -117,22 +110,24 @@ def clean_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
     return keep_clean(flag_rows(table, spec), spec)
 
 
-def _count_cells(array: str, names: list[str], keep_zero: bool) -> Column:
-    """Map from column name to the number of rows that list it."""
+def _count_cells(prefix: str, names: list[str], keep_zero: bool) -> Column:
+    """Map from column name to the number of rows flagged for it."""
     if not names:
         return F.create_map().cast("map<string,bigint>")
-    counts = F.map_from_arrays(
-        F.array(*[F.lit(n) for n in names]),
-        F.array(*[F.count_if(F.array_contains(array, n)) for n in names]),
-    )
+    counts = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.count_if(prefix + n) for n in names]))
     return counts if keep_zero else F.map_filter(counts, lambda _, n: n > 0)
 
 
+def dropped() -> Column:
+    """Whether a row has any flag."""
+    return _any([F.col(flag) for flag in ROW_FLAGS])
+
+
 def quality_report(flagged: DataFrame, spec: TableSpec, columns: list[str]) -> DataFrame:
     """One row: rows in, rows removed per reason and counts per column, from one aggregate."""
     checks = [name for name in spec.numeric if name in columns]
     rows = F.count(F.lit(1))
-    removed = F.count_if(DROP_ROW)
+    removed = F.count_if(dropped())
     return flagged.agg(
         rows.alias("rows_initial"),
         (rows - removed).alias("rows_after_cleaning"),
@@ -140,8 +135,8 @@ def quality_report(flagged: DataFrame, spec: TableSpec, columns: list[str]) -> D
         F.count_if(F.col(MALFORMED_ROW) | F.col(UNKNOWN_ROW)).alias("rows_removed_malformed"),
         removed.alias("rows_removed_total"),
         F.coalesce(F.try_divide(removed, rows) * 100, F.lit(0.0)).alias("removal_pct"),
-        _count_cells(EMPTY_CELLS, columns, keep_zero=False).alias("missing_by_column"),
-        _count_cells(BAD_CELLS, checks, keep_zero=True).alias("malformed_by_column"),
+        _count_cells(EMPTY, columns, keep_zero=False).alias("missing_by_column"),
+        _count_cells(BAD, checks, keep_zero=True).alias("malformed_by_column"),
     )
 
 

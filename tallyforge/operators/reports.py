@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.operators.profiling import imbalance, skew_report
+from tallyforge.session import settle
 from tallyforge.spec import TableSpec
 
 # Texts of the reports.
@@ -63,7 +64,7 @@ def preparation_report(
     target = spec.target
     engineered = [*clean_features, *added]
     # All class figures come from one small count per side and class.
-    cells = split.groupBy(target, "is_test").agg(F.count(F.lit(1)).alias("rows"))
+    cells = settle(split.groupBy(target, "is_test").agg(F.count(F.lit(1)).alias("rows")))
     side = lambda test: class_maps(cells.filter(F.col("is_test") == test), target).select(F.struct("*")).scalar()
     whole = cells.groupBy(target).agg(F.sum("rows").alias("rows"))
     balance = imbalance(whole, target, spec.labels.get(spec.minority_label), spec.imbalance_limit)

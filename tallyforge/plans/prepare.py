@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.functions.ordering import row_text
 from tallyforge.functions.parsing import strict_double
 from tallyforge.operators.features import added_columns, engineer
 from tallyforge.operators.quality import (
@@ -19,12 +20,12 @@ from tallyforge.sources.tables import CLEAN_PAIR, ENGINEERED_PAIR, read_folder,
 from tallyforge.spec import SKY_OBJECTS, TableSpec
 
 REPORT = "preprocessing_report.json"
-STAGED, SPLIT = "_staged.parquet", "_split.parquet"
+STAGED, SPLIT, ROW = "_staged.parquet", "_split.parquet", "_row"
 
 
-def _read_extras(df: DataFrame, spec: TableSpec) -> DataFrame:
+def _read_extras(df: DataFrame, spec: TableSpec, carried: Sequence[str]) -> DataFrame:
     """Columns outside the contract become numbers when every cell is one."""
-    extras = [c for c in df.columns if c not in spec.required]
+    extras = [c for c in df.columns if c not in spec.required and c not in carried]
     numeric = set(numeric_extras(df, extras))
     return df.select(*[strict_double(F.col(c), df.schema[c].dataType).alias(c) if c in numeric else F.col(c) for c in df.columns])
 
@@ -40,11 +41,13 @@ def prepare_table(
     spark = raw.sparkSession
     check_columns(raw, spec)
     table, dropped = drop_id_columns(raw, spec)
-    # Split by the id columns when ``key`` names them; they are kept until then.
-    carried = [c for c in (key or []) if c in dropped]
     staged_path, split_path = f"{output}/{STAGED}", f"{output}/{SPLIT}"
-
-    typed = _read_extras(table, spec) if not carried else _read_extras(raw.drop(*[d for d in dropped if d not in carried]), spec)
+    if not key:
+        # One hash of the whole raw row, so that the passes of the split read a single column.
+        raw, key = raw.withColumn(ROW, F.md5(row_text(raw))), [ROW]
+    # The key is needed until the split, id columns included.
+    carried = [c for c in key if c in dropped or c == ROW]
+    typed = _read_extras(raw.drop(*[c for c in dropped if c not in carried]), spec, carried)
     write_parquet(flag_rows(typed, spec), staged_path)
     staged = spark.read.parquet(staged_path)
 

@@ -61,6 +61,7 @@ def train(
     baseline: dict[str, object] = BASELINE,
     key: Sequence[str] | None = None,
     max_bins: int = BINS,
+    partitions: int = 0,
 ) -> dict[str, DataFrame]:
     """Fit the baseline, a tuned model on the clean and one on the engineered features.
 
@@ -89,7 +90,7 @@ def train(
     reports: dict[str, DataFrame] = {}
     entries = []
 
-    def keep(stage: str, name: str, model, pair, mode: str) -> None:
+    def keep(stage: str, name: str, model, mode: str) -> None:
         path = f"{output}/{name}"
         save_model(model, path)
         entries.append(model_entry(stage, model, path, mode, labels))
@@ -102,10 +103,10 @@ def train(
         return baseline_report(evaluation_row(counts, spec.label_order), info, summary, labels, spec, **more)
 
     features = feature_columns(clean_train, spec.target)
-    model = train_forest(clean_train, features, spec.target, baseline, spec.seed, max_bins)
+    model = train_forest(clean_train, features, spec.target, baseline, spec.seed, max_bins, partitions)
     reports["baseline"] = metrics(model, clean_train, clean_test, clean_names)
     write_document(reports["baseline"], f"{output}/baseline_metrics.json")
-    keep("baseline", "model_baseline", model, clean_names, "clean")
+    keep("baseline", "model_baseline", model, "clean" if clean_names[2] == "cleaned" else "engineered")
 
     for prefix, train_df, test_df, pair in (
         ("clean_tuned", clean_train, clean_test, clean_names), ("", full_train, full_test, full_names),
@@ -113,7 +114,7 @@ def train(
         features = feature_columns(train_df, spec.target)
         found = random_search(
             train_df, features, spec.target, n_iter=n_iter, folds=folds, space=space, seed=spec.seed, key=key,
-            parallelism=parallelism, max_bins=max_bins,
+            parallelism=parallelism, max_bins=max_bins, partitions=partitions,
         )
         search = search_columns(max(1, n_iter), max(2, folds), parallelism)
         results = result_columns(_params(found.best_params), found.best_score, found.top())
@@ -125,7 +126,7 @@ def train(
         write_document(best_params_report(spark, search, results), f"{output}/{names['best']}")
         write_document(top_trials_report(spark, search, results), f"{output}/{names['top']}")
         mode = "engineered" if pair[2] == "engineered" else "clean"
-        keep(stage, f"model_{prefix}" if prefix else "model", found.model, pair, mode)
+        keep(stage, f"model_{prefix}" if prefix else "model", found.model, mode)
 
     write_document(importance_report(feature_importance(found.model, full_train)), f"{output}/feature_importance.json")
     write_registry(spark, entries, output)
