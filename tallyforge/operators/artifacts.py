@@ -33,8 +33,14 @@ ISSUES = {
 def needs_balancing(report: Column, limit: float = IMBALANCE_LIMIT) -> Column:
     """Whether a JSON report advises class weights: by text, else by its ratio, else not."""
     document = F.try_parse_json(report)
-    advice = [F.lower(F.try_variant_get(document, path, "string")).contains("balanced") for path in ADVICE_PATHS]
-    told = F.coalesce(advice[0], F.lit(False)) | F.coalesce(advice[1], F.lit(False))
+
+    def tells(path: str) -> Column:
+        # Only a text counts as advice, not an object that holds the word.
+        is_text = F.schema_of_variant(F.try_variant_get(document, path, "variant")) == "STRING"
+        says = F.lower(F.try_variant_get(document, path, "string")).contains("balanced")
+        return F.coalesce(is_text & says, F.lit(False))
+
+    told = tells(ADVICE_PATHS[0]) | tells(ADVICE_PATHS[1])
     ratio = strict_double(F.coalesce(*[F.get_json_object(report, path) for path in RATIO_PATHS]))
     return told | F.coalesce(ratio > limit, F.lit(False))
 

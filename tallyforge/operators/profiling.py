@@ -84,7 +84,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFram
     return (
         unpivot_features(finite, columns)
         .join(F.broadcast(ends), "feature")
-        .withColumn("bin", F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0).cast("bigint")) + 1)
+        .withColumn("bin", F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)) + 1)
         .groupBy("feature", "bin", "low", "high")
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(

@@ -34,7 +34,7 @@ def _bin(value: Column) -> Column:
     finite = lambda c: F.greatest(F.least(c, top), -top) / 2
     low, high = finite(F.col("low")), finite(F.col("high"))
     place = F.floor(F.try_divide(finite(value) - low, high - low) * BINS)
-    return F.coalesce(F.least(place, F.lit(BINS - 1)), (value > F.col("low")).cast("bigint"))
+    return F.when(place.isNotNull(), F.least(place, F.lit(BINS - 1))).otherwise((value > F.col("low")).cast("bigint"))
 
 
 def order_statistics(long: DataFrame, keys: Sequence[str], wanted: DataFrame) -> DataFrame:

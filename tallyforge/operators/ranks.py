@@ -87,15 +87,14 @@ def _segment(cuts: Sequence[Column]) -> Column:
 def _copies(rows: DataFrame, ties: DataFrame, groups: Sequence[str], columns: list[str], into: str) -> DataFrame:
     """Identical rows at a cut, handed out to the segments by count."""
     w = Window.partitionBy(*groups, PREFIX).orderBy("cut")
-    steps = ties.withColumn("from", F.coalesce(F.lag("rank").over(w), F.lit(0)))
-    last = F.lead("cut").over(w).isNull()
+    steps = ties.withColumns({"from": F.coalesce(F.lag("rank").over(w), F.lit(0)), "last": F.lead("cut").over(w).isNull()})
     shares = steps.select(
         *groups,
         F.col(PREFIX).alias(ORDER),
         F.inline(
             F.array(
                 F.struct(F.col("cut").alias(into), (F.col("rank") - F.col("from")).alias("copies")),
-                F.struct((F.col("cut") + 1).alias(into), F.when(last, F.col("n") - F.col("rank")).otherwise(0).alias("copies")),
+                F.struct((F.col("cut") + 1).alias(into), F.when(F.col("last"), F.col("n") - F.col("rank")).otherwise(0).alias("copies")),
             )
         ),
     ).filter(F.col("copies") > 0)

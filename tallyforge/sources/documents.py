@@ -33,7 +33,7 @@ def read_document(spark: SparkSession, path: str, schema: StructType | str | Non
 def read_document_text(spark: SparkSession, path: str) -> DataFrame:
     """JSON document as text in a column ``payload``; raises when it is missing."""
     try:
-        return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "payload")
+        return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Missing JSON document: {path}") from error
