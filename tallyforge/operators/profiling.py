@@ -26,8 +26,8 @@ def class_distribution(df: DataFrame, target: str) -> DataFrame:
 
 def class_shares(df: DataFrame, target: str) -> DataFrame:
     """Share of each class among the rows that have one."""
-    counts = df.dropna(subset=[target]).groupBy(target).agg(F.count(F.lit(1)).alias("rows"))
-    share = F.try_divide(F.col("rows"), F.sum("rows").over(Window.partitionBy()))
+    counts = settle(df.dropna(subset=[target]).groupBy(target).agg(F.count(F.lit(1)).alias("rows")))
+    share = F.try_divide(F.col("rows"), counts.agg(F.sum("rows")).scalar())
     return counts.select(target, share.alias("share")).orderBy(target)
 
 

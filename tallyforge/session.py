@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +12,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def get_session(app: str = "tallyforge", **conf: str) -> SparkSession:
-    """Session with adaptive execution on; master and sizes come from the cluster."""
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-    )
-    for name, value in conf.items():
-        builder = builder.config(name.replace("__", "."), value)
+def get_session(app: str = "tallyforge", conf: Mapping[str, str] | None = None) -> SparkSession:
+    """Session with adaptive execution on; master and sizes come from the cluster or ``conf``."""
+    builder = SparkSession.builder.appName(app)
+    defaults = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        # HotSpot leaves larger methods uncompiled; Spark then splits wide projections instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.sql.session.timeZone": "UTC",
+    }
+    for name, value in {**defaults, **(conf or {})}.items():
+        builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
