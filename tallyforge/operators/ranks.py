@@ -3,7 +3,8 @@
 Rows are ordered by ``md5(seed|key)`` inside each group. To find the row of a given rank, the
 hash is narrowed three hex digits at a time: rows are counted per leading digits, the running
 count shows which digits hold the rank, and only rows below those digits are counted next. Each
-step shuffles counts, at most 4096 per group and per open cut, never rows; the result is one
+step shuffles counts, at most 4096 per group and per open cut, never rows; once few rows are left
+below the open digits, the rest of the hash is taken in one step. The result is one
 boundary text per cut, and a row finds its segment by comparing its hash with the boundaries.
 A group that holds most of the table is therefore no slower than a small one.
 
@@ -28,17 +29,22 @@ HASH_DIGITS = 32
 # Sorts after every hex digit, so ``prefix + AFTER`` lies behind all hashes with that prefix.
 AFTER = "g"
 COPIES_PER_CHUNK = 100_000
+JUMP_ROWS = 1_000_000
 
 Sizer = Callable[[DataFrame], DataFrame]
 
 
 def _bins(rows: DataFrame, groups: Sequence[str], width: int, step: int) -> DataFrame:
-    """Row counts per group, current prefix and prefix extended by ``step`` digits."""
+    """Row counts per group, current prefix and prefix extended by ``step`` digits.
+
+    ``single`` says that a bin most likely holds one hash only; it steers the steps, not the result.
+    """
+    value = F.xxhash64(ORDER)
     return rows.groupBy(
         *groups,
         F.substring(ORDER, 1, width).alias(PREFIX),
         F.substring(ORDER, 1, width + step).alias("bin"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    ).agg(F.count(F.lit(1)).alias("n"), (F.min(value) == F.max(value)).alias("single"))
 
 
 def _hits(open_cuts: DataFrame, bins: DataFrame, groups: Sequence[str]) -> DataFrame:
@@ -52,7 +58,7 @@ def _hits(open_cuts: DataFrame, bins: DataFrame, groups: Sequence[str]) -> DataF
     return (
         spans.join(open_cuts.select(*keys, "cut", "rank"), keys)
         .filter(inside)
-        .select(*groups, "cut", F.col("bin").alias(PREFIX), (F.col("rank") - F.col("before")).alias("rank"), "n")
+        .select(*groups, "cut", F.col("bin").alias(PREFIX), (F.col("rank") - F.col("before")).alias("rank"), "n", "single")
     )
 
 
@@ -73,7 +79,9 @@ def _narrow(
         open_cuts = hits.filter(F.col("rank") < F.col("n"))
         if width >= limit or open_cuts.isEmpty():
             return done, open_cuts
-        step = min(STEP, limit - width)
+        spread = open_cuts.select(*groups, PREFIX, F.when(F.col("single"), 0).otherwise(F.col("n")).alias("m")).distinct()
+        # Few rows, or bins of one hash: the remaining digits give few bins at once.
+        step = limit - width if spread.agg(F.sum("m")).first()[0] <= JUMP_ROWS else min(STEP, limit - width)
         bins = _bins(_below(rows, open_cuts, groups, width), groups, width, step)
         hits = settle(_hits(open_cuts, bins, groups))
         width += step
