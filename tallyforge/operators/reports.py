@@ -132,16 +132,16 @@ def preparation_report(
 
 
 def preparation_summary(report: DataFrame) -> DataFrame:
-    """One row with the five figures that metric reports repeat, as a struct."""
+    """One row with the five figures that metric reports repeat; those without a value are left out."""
     counts = ("rows_removed_missing", "rows_removed_malformed", "rows_removed_total")
     sizes = ("feature_count_before", "feature_count_after")
-    return report.select(
-        F.struct(*counts, *[F.col(f"dataset_comparison.{s}").alias(s) for s in sizes]).alias("preprocessing_summary")
-    )
+    pairs = [(F.lit(c), F.col(c)) for c in counts] + [(F.lit(s), F.col(f"dataset_comparison.{s}")) for s in sizes]
+    figures = F.create_map(*chain.from_iterable(pairs)).cast("map<string,bigint>")
+    return report.select(F.map_filter(figures, lambda _, v: v.isNotNull()).alias("preprocessing_summary"))
 
 
 def summary_json(report: DataFrame) -> DataFrame:
-    """The summary as JSON text; figures without a value are left out."""
+    """The summary as JSON text."""
     return preparation_summary(report).select(F.to_json("preprocessing_summary").alias("summary"))
 
 

@@ -37,12 +37,17 @@ def _params(values: dict[str, object]) -> Column:
     return F.struct(*[F.lit(v).alias(k) for k, v in values.items()])
 
 
-def _settings(spark: SparkSession, folder: str, spec: TableSpec) -> tuple[DataFrame, dict[str, int], bool]:
+def _nothing() -> Column:
+    """Empty JSON object."""
+    return F.create_map().cast("map<string,string>")
+
+
+def _settings(spark: SparkSession, folder: str, spec: TableSpec) -> tuple[DataFrame | None, dict[str, int], bool]:
     """Report, label mapping and balancing advice; defaults without a report."""
     try:
         text = read_document_text(spark, f"{folder}/{REPORT}")
     except FileNotFoundError:
-        return spark.createDataFrame([(None,) * 5], SUMMARY), dict(spec.labels), False
+        return None, dict(spec.labels), False
     row = text.select(class_mapping(F.col("payload"), spec.labels).alias("m"), needs_balancing(F.col("payload")).alias("b")).first()
     return read_document(spark, f"{folder}/{REPORT}", SUMMARY), dict(row["m"]), row["b"]
 
@@ -78,7 +83,7 @@ def train(
     full_train, full_test, full_names = read_split(spark, prepared, [ENGINEERED_PAIR, CLEAN_PAIR])
 
     report, labels, unbalanced = _settings(spark, prepared, spec)
-    summary = preparation_summary(report)
+    summary = preparation_summary(report) if report is not None else spark.range(1).select(_nothing().alias("preprocessing_summary"))
     space = space or (BALANCED_SPACE if unbalanced else SPACE)
     if max_rows > 0:
         # One sample serves both stages: the derived columns are computed on the sampled rows.
@@ -118,7 +123,7 @@ def train(
         )
         search = search_columns(max(1, n_iter), max(2, folds), parallelism)
         results = result_columns(_params(found.best_params), found.best_score, found.top())
-        engineering = report.select("feature_engineering").scalar() if not prefix else F.struct(F.lit(None).cast("string").alias("status"))
+        engineering = _nothing() if prefix or report is None else report.select("feature_engineering").scalar()
         stage = prefix or "tuned"
         reports[stage] = metrics(found.model, train_df, test_df, pair, feature_engineering=engineering, **search, **results)
         names = tuned_names(prefix)

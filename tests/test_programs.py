@@ -83,6 +83,7 @@ def test_training_documents(spark, world):
     assert base["split_files"] == {"train": "train_clean.parquet", "test": "test_clean.parquet"}
     assert base["preprocessing_summary"]["rows_removed_total"] == 3 and base["accuracy"] > 0.7
     assert sum(map(sum, base["confusion_matrix"])) == base["dataset_shapes"]["test"][0]
+    assert read_json(models / "clean_tuned_metrics.json")["feature_engineering"] == {}
     assert tuned["feature_engineering"]["status"] == "completed" and tuned["n_iter_used"] == 2 and tuned["scoring"] == "f1_macro"
     assert [t["rank"] for t in tuned["top_5_results"]] == sorted(t["rank"] for t in tuned["top_5_results"])
     assert tuned["best_cv_score"] == pytest.approx(tuned["top_5_results"][0]["mean_test_score"])
