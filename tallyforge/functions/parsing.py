@@ -63,8 +63,10 @@ def number_or_zero(column: Column) -> Column:
     return F.coalesce(strict_double(column), F.lit(0.0))
 
 
-def integer_or_zero(column: Column) -> Column:
-    """Integer reading for display, 0 when there is none or the text has a fraction."""
+def integer_or_zero(column: Column, dtype: DataType | None = None) -> Column:
+    """Integer reading for display: a number loses its fraction, a text with one counts as 0."""
+    if isinstance(dtype, NumericType):
+        return F.coalesce(column.try_cast("bigint"), F.lit(0).cast("bigint"))
     return F.coalesce(strict_long(column.cast("string")), F.lit(0).cast("bigint"))
 
 

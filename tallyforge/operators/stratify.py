@@ -81,7 +81,7 @@ def stratified_cap(
 
 def paired_rows(chosen: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``other`` whose key was chosen, for a second table with the same rows."""
-    return other.join(chosen.select(*key), list(key), "left_semi")
+    return other.join(chosen.select(*key).distinct(), list(key), "left_semi")
 
 
 def stratified_folds(

@@ -107,5 +107,7 @@ def test_labels_and_display(spark):
     assert one.select(decode_label(F.lit(0), names), decode_label(F.lit(5), names)).first()[:] == ("A", "5")
     row = one.select(number_or_zero(F.lit("2.5")), number_or_zero(F.lit("x")), integer_or_zero(F.lit("3.7")), integer_or_zero(F.lit(" 4 "))).first()
     assert row[:] == (2.5, 0.0, 0, 4)
+    df = spark.createDataFrame([(-3.7,), (float("nan"),), (1e300,), (None,)], "x double")
+    assert [r[0] for r in df.select(integer_or_zero(F.col("x"), DoubleType())).collect()] == [-3, 0, 0, 0]
     df = spark.createDataFrame([(1.5, None)], "x double, s string")
     assert df.select(display_text(F.col("x"), DoubleType()), display_text(F.col("s"), StringType())).first()[:] == (1.5, "")
