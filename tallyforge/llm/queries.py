@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import sql
+from tallyforge.llm import bpe, sql
 from tallyforge.llm.near_dedup import near_duplicates
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
 
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+RANKS = "byte_bpe_50k.tiktoken"
+
 __all__ = ["ORACLES", "QUERIES"]
 
 
 @query(sql.NEAR_DUPLICATES)
 def op1_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_byte_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary(RANKS))
