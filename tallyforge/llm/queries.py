@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm import bpe, sql
 from tallyforge.llm.near_dedup import near_duplicates
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
+from tallyforge.llm.substring_dedup import remove_repeats
 
 
 
@@ -30,3 +31,9 @@ def op1_near_dedup(spark, sf_dir):
 @query()
 def op4_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary(RANKS))
+
+
+@query(sql.SUBSTRING_DEDUP)
+def op8_substring_dedup(spark, sf_dir):
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

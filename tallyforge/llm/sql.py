@@ -25,3 +25,20 @@ def near_parts(source: str, n: str = "") -> str:
 NEAR_DUPLICATES = f"""with recursive {near_parts("documents")}
     select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) as component_id, d.doc_id <= coalesce(low, d.doc_id) as kept
     from documents d left join sizes using (doc_id) left join lowest using (doc_id)"""
+
+_REPEATS = """
+    split{n} as (select doc_id, {words} as ws from {source}),
+    windows{n} as (select doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') as s from split{n}, unnest(range(1, len(ws) - 11)) as t(i)),
+    firsts{n} as (select s, min(doc_id) as low from windows{n} group by 1 having min(doc_id) < max(doc_id)),
+    gone{n} as (select distinct doc_id, k from windows{n} join firsts{n} using (s), unnest(range(i, i + 13)) as t(k) where low < doc_id),
+    cut{n} as (select doc_id, len(ws) as n_words, coalesce(len(gs), 0) as n_removed,
+        array_to_string(list_transform(list_filter(range(1, len(ws) + 1), lambda k: gs is null or not list_contains(gs, k)), lambda k: ws[k]), ' ') as kept_text
+        from split{n} left join (select doc_id, list(k) as gs from gone{n} group by 1) using (doc_id))"""
+
+
+def repeat_parts(source: str, n: str = "") -> str:
+    return _REPEATS.format(source=source, n=n, words=WORDS.format(text="coalesce(text, '')"))
+
+
+SUBSTRING_DEDUP = f"""with {repeat_parts("documents")}
+    select doc_id, n_words, n_removed, sha256(kept_text) as kept_sha256 from cut"""
