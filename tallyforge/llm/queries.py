@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, sql
+from tallyforge.llm import bpe, lang_id, sql
+from tallyforge.llm.mixing import mix
 from tallyforge.llm.near_dedup import near_duplicates
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
 from tallyforge.llm.substring_dedup import remove_repeats
@@ -37,3 +38,16 @@ def op4_byte_bpe(spark, sf_dir):
 def op8_substring_dedup(spark, sf_dir):
     cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = lang_id.fit(docs.where(~held_out))
+    return lang_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query(sql.MIX)
+def op3_mix_sources(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), F.array("source")).select("doc_id", "size", "source_size", "target", "taken")

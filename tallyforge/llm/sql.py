@@ -42,3 +42,25 @@ def repeat_parts(source: str, n: str = "") -> str:
 
 SUBSTRING_DEDUP = f"""with {repeat_parts("documents")}
     select doc_id, n_words, n_removed, sha256(kept_text) as kept_sha256 from cut"""
+
+_MIX = """
+    sized{n} as (select {columns}, len({words}) as size,
+        ('0x' || substr(md5('mix|' || coalesce(doc_id::varchar, '') || '|' || md5(coalesce(text, ''))), 1, 15))::bigint as place from {source}),
+    wholes{n} as (select source, sum(size)::bigint as source_size, 2 * sum(size)::double as cap from sized{n} group by 1),
+    ranked{n} as (select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 3.0::double when 1 then 1.0::double else 2.0::double end as weight from wholes{n}),
+    steps{n} as (select *, 1.5::double * sum(source_size) over () - coalesce(sum(cap) over w, 0) as rest, sum(weight) over () - coalesce(sum(weight) over w, 0) as others
+        from ranked{n} window w as (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+    capped{n} as (select *, rest * weight / others > cap as full_ from steps{n}),
+    shares{n} as (select *, case when full_ then cap else (1.5::double * sum(source_size) over () - coalesce(sum(cap) filter (full_) over (), 0)) * weight
+        / sum(weight) filter (not full_) over () end as target from capped{n}),
+    ordered{n} as (select z.*, source_size, target, floor(target)::bigint as quota,
+        coalesce(sum(size) over (partition by z.source order by place rows between unbounded preceding and 1 preceding), 0)::bigint as before
+        from sized{n} z join shares{n} h on z.source is not distinct from h.source),
+    mixed{n} as (select *, (case when source_size = 0 then 0 else quota // source_size * size + greatest(0, least(size, quota % source_size - before)) end)::bigint as taken from ordered{n})"""
+
+
+def mix_parts(source: str, n: str = "", columns: str = "doc_id, source") -> str:
+    return _MIX.format(source=source, n=n, columns=columns, words=WORDS.format(text="coalesce(text, '')"))
+
+
+MIX = f"with {mix_parts('documents')} select doc_id, size, source_size, target, taken from mixed"

@@ -31,9 +31,10 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound what a Python worker holds at once: at most so many documents in one Arrow batch."""
+def small_batches(spark: SparkSession, rows: int = 512, size: str = "8m") -> None:
+    """Bound what a Python worker holds at once: rows and bytes of one Arrow batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def prepare(spark: SparkSession) -> None:
