@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import prepare
+from tallyforge.llm.storage import extended, prepare
 from tallyforge.llm.text import Chunk, chunks, span_hashes
 
 _END = 0x110000
@@ -311,8 +311,7 @@ def encode(docs: DataFrame, ranks_path: str, text_column: str = "text", ids: str
             more = [found] if ends is None else [found, _token_ends(found, tokenizer)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*names, ids] + ([] if ends is None else [ends]))
 
-    schema = docs.schema.add(ids, "array<int>")
-    return docs.mapInArrow(run, schema if ends is None else schema.add(ends, "array<int>"))
+    return docs.mapInArrow(run, extended(docs.schema, **{name: "array<int>" for name in (ids, ends) if name is not None}))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -329,7 +328,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "token_ids", out: str
             cells = [None if cell is None else tokenizer.decode(np.array(cell, dtype=np.int64)).tobytes() for cell in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.binary())], [*names, out])
 
-    return encoded.mapInArrow(run, encoded.schema.add(out, "binary"))
+    return encoded.mapInArrow(run, extended(encoded.schema, **{out: "binary"}))
 
 
 def digests(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import Scratch, prepare
+from tallyforge.llm.storage import Scratch, extended, prepare
 from tallyforge.llm.text import _LOWER, Chunk, chunks
 
 #: Hashed dimensions, centroids per language, and the bound on the labelled rows per language that they are fitted on.
@@ -172,5 +172,5 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
             more = [pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], [*names, "score", "rejected"])
 
-    schema = docs.drop("lang_pred").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = extended(docs.drop("lang_pred").schema, lang_pred="string", score="double", rejected="boolean")
     return docs.mapInArrow(run, schema)

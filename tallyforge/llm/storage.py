@@ -9,6 +9,8 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql.types import DataType, StructField, StructType
+
 from tallyforge.session import ensure_checkpoint_dir
 
 _shipped: set[str] = set()
@@ -42,6 +44,11 @@ def prepare(spark: SparkSession) -> None:
     small_batches(spark)
 
 
+def extended(schema: StructType, **more: str) -> StructType:
+    """``schema`` with more columns, as name and type text."""
+    return StructType([*schema.fields, *(StructField(name, DataType.fromDDL(kind)) for name, kind in more.items())])
+
+
 class Scratch:
     """Tables written once to the shared folder; a lost executor costs no recomputation of them.
 

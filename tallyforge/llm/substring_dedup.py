@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import Scratch, prepare
+from tallyforge.llm.storage import Scratch, extended, prepare
 from tallyforge.llm.text import CHUNK_BYTES, Chunk, chunks, covered, find_words, span_hashes, window_hashes, window_starts
 
 WINDOW, BLOCK = 13, 7
@@ -238,5 +238,5 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .groupBy("bucket").applyInArrow(_earlier, _MESSAGE).where("octet_length(entries) > 0")
         .groupBy("chunk").agg(F.collect_list("entries").alias("answers"))
     )
-    schema = rows.schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    schema = extended(rows.schema, n_words="long", n_removed="long", kept_text="string")
     return parts.join(late, "chunk", "left").select("chunk", "payload", "answers").mapInArrow(_cut, schema)
