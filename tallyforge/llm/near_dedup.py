@@ -22,6 +22,8 @@ from tallyforge.llm.text import _ODD, chunks, find_words, mix, signed, span_hash
 SHINGLE = 5
 #: Sketch coordinates, in bands of ROWS: a pair at similarity 0.75 shares no band with probability 2.5e-7.
 SIZE, ROWS = 160, 4
+#: Equal coordinates that a pair of a block needs before its sets are compared; rows of one side of a block.
+LEAST_EQUAL, BLOCK_ROWS = 96, 512
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -91,9 +93,8 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _check_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        linked, last, kept = [], None, None
-        ids = batch.column(0).to_pylist()
-        for left, a, b in zip(ids, shingle_sets(batch.column(2)), shingle_sets(batch.column(3))):
+        linked = []
+        for a, b in zip(shingle_sets(batch.column(2)), shingle_sets(batch.column(3))):
             common = len(np.intersect1d(a, b, assume_unique=True))
             linked.append(100 * common >= PERCENT * (len(a) + len(b) - common))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
@@ -107,20 +108,86 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_check_batches, "a long, b long, linked boolean")
 
 
+def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketch cut to 16 bits a coordinate and shingles cut to 32 bits, of each text."""
+    for batch in batches:
+        short, sets = [], []
+        for items in shingle_sets(batch.column(1)):
+            short.append(sketch(items).astype(np.uint16).tobytes())
+            sets.append(np.unique(items.astype(np.uint32)).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(short, pa.binary()), pa.array(sets, pa.binary())], ["node", "sketch", "items"])
+
+
+def _block_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of one block of a bucket that lie in unlike components and look similar enough.
+
+    Equal sketch coordinates, 4.4 standard deviations below what similarity 0.75 gives, go before the sets. A pair
+    that meets in several buckets is looked at in that of its first common band only.
+    """
+    nodes, parts, sides = (table.column(c).to_numpy() for c in ("rep", "component", "side"))
+    band = table.column("band")[0].as_py()
+    sketches = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in table.column("sketch")])
+    sets = [np.frombuffer(x.as_py(), np.uint32) for x in table.column("items")]
+    left = np.flatnonzero(sides != 1)
+    right = np.flatnonzero(sides != 0)
+    found: list[tuple[int, int]] = []
+    for first in range(0, len(left), 16):
+        rows = left[first : first + 16]
+        open_ = parts[rows][:, None] != parts[right][None, :]
+        if sides[0] == 2:
+            open_ &= rows[:, None] < right[None, :]
+        equal = sketches[rows][:, None, :] == sketches[right][None, :, :]
+        open_ &= equal.sum(axis=2) >= LEAST_EQUAL
+        for i, j in zip(*np.nonzero(open_)):
+            if int(np.argmax(equal[i, j].reshape(-1, ROWS).all(axis=1))) != band:
+                continue
+            x, y = sets[rows[i]], sets[right[j]]
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common >= (PERCENT - 1) * (len(x) + len(y) - common):
+                found.append((int(nodes[rows[i]]), int(nodes[right[j]])))
+    return pa.table({"a": pa.array([min(f) for f in found], pa.int64()), "b": pa.array([max(f) for f in found], pa.int64())})
+
+
+def _rest_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Candidate links that the pivots left open: members of a bucket in unlike components, compared block by block."""
+    named = members.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "band", "rep", "pivot", F.coalesce("component", "rep").alias("component"))
+    homes = named.where("rep = pivot").select("bucket", F.col("component").alias("home"))
+    others = named.where("rep != pivot").join(homes, "bucket").withColumn("is_home", F.col("component") == F.col("home"))
+    counts = others.groupBy("bucket").agg(
+        F.count_if("is_home").alias("n_home"), F.count_if(~F.col("is_home")).alias("n_rest"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
+    open_ = counts.where("low < high").select("bucket", blocks("n_home").alias("homes"), blocks("n_rest").alias("rests"))
+    live = scratch.save(others.join(open_, "bucket").select("bucket", "band", "rep", "component", "is_home", "homes", "rests"))
+    profiles = scratch.save(
+        texts.join(live.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").select("doc_id", "text").mapInArrow(_profile_batches, "node long, sketch binary, items binary")
+    )
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_home"), F.col("homes")).otherwise(F.col("rests"))).cast("int")
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    cell = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    mine = F.col("own")
+    within = lambda k: cell("rest", F.least(mine, k), F.greatest(mine, k), F.when(mine == k, 2).when(mine < k, 0).otherwise(1))
+    of_home = F.transform(upto("rests"), lambda k: cell("home", mine, k, F.lit(0)))
+    of_rest = F.concat(F.transform(upto("homes"), lambda k: cell("home", k, mine, F.lit(1))), F.transform(upto("rests"), within))
+    placed = live.withColumn("own", own).withColumn("cell", F.explode(F.when(F.col("is_home"), of_home).otherwise(of_rest)))
+    placed = placed.select("bucket", "band", "rep", "component", "cell.*").join(profiles, F.col("rep") == F.col("node"))
+    return placed.groupBy("bucket", "kind", "i", "j").applyInArrow(_block_pairs, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``.
 
     Two texts are linked when the Jaccard similarity of their 5-word shingle sets is 0.75 or more;
     ``component_id`` is the least id reachable over links. A text that is NULL or has no word has an
     empty set and is linked with nothing, as is a row without an id (its component is NULL, it is
-    kept). Rows that repeat an id each give a row and share a component. Other columns of ``docs`` are not read.
+    kept). Rows that repeat an id each give a row and share a component; if their texts differ, the least
+    text stands for the id in checks. Other columns of ``docs`` are not read.
 
     Texts with equal sets form one class, and only the class's least id takes part in what follows. Ids
-    are grouped by band; in each bucket a pivot is compared with all members. A bucket whose members
+    are grouped by band; in each bucket the least id is compared with all members. A bucket whose members
     then lie in one component is done, since no further pair in it can change a component. In the others
-    4, then 16, ... further pivots are compared with the members of other components until no
-    unchecked pair is left. Nothing is capped; only buckets of texts that collide in a band and
-    yet are not linked need more rounds.
+    all members of unlike components are compared, in blocks of bounded size that give out links only.
+    Nothing is capped, and every link is confirmed on the full shingle sets of both texts.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -130,37 +197,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = scratch.save(
         sketched.where("doc_id is not null and n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     )
-    banded = classes.select("rep", F.explode("bands").alias("bucket"))
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).where("n > 1").select("bucket", "pivot")
     members = scratch.save(banded.join(shared, "bucket"))
-    # A doc_id may occur on several rows with unlike texts; each class then checks the least text of its id.
     needed = members.select("rep").distinct()
-    texts = rows.join(needed, rows.doc_id == needed.rep, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    texts = scratch.save(texts)
-
-    checked = scratch.save(_verified(members.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), texts))
-    live, spread = members.where("rep != pivot").select("bucket", "rep"), 4
-    while True:
-        labels = components(checked.where("linked"), scratch)
-        named = live.join(labels, live.rep == labels.node, "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-        mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        rest = scratch.save(named.join(mixed, "bucket", "left_semi"))
-        if rest.isEmpty():
-            break
-        salt = F.pmod(F.xxhash64("rep", "bucket"), F.lit(spread))
-        pivots = rest.groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("rep", "component")).alias("pivot")).select(
-            "bucket", F.col("pivot.rep").alias("pivot"), F.col("pivot.component").alias("pivot_component")
-        )
-        pairs = (
-            rest.join(pivots, "bucket")
-            .where("component != pivot_component")
-            .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
-            .distinct()
-            .join(checked.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
-        )
-        checked = scratch.save(checked.unionByName(_verified(pairs, texts)))
-        live = rest.join(pivots, (rest.bucket == pivots.bucket) & (rest.rep == pivots.pivot), "left_anti").select("bucket", "rep")
-        spread *= 4
+    texts = scratch.save(rows.join(needed, rows.doc_id == needed.rep, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+
+    stars = members.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    links = scratch.save(_verified(stars, texts).where("linked").select("a", "b"))
+    labels = components(links, scratch)
+    more = scratch.save(_verified(_rest_pairs(members, labels, texts, scratch), texts).where("linked").select("a", "b"))
+    if not more.isEmpty():
+        labels = components(links.unionByName(more), scratch)
     named = classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     return (
         sketched.select("doc_id", "n_shingles", "set_key")
