@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,17 @@ CHUNK_TEXT, BUCKET_ENTRIES = 4 * CHUNK_BYTES, 1 << 21
 _ENTRY_BITS = 30
 
 
+def packed(values: np.ndarray) -> bytes:
+    """64-bit numbers, best sorted: differences by byte plane, compressed."""
+    steps = np.diff(values.astype(np.uint64) if values.dtype != np.int64 else values.view(np.uint64), prepend=np.uint64(0))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _payload(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
@@ -131,14 +143,14 @@ def _probes(bits: int):
                 index[which[(at - starts[at]) % BLOCK == 0]] = 1
                 entries = _entries(values, bits) | index | np.where(low < high, np.uint32(2), np.uint32(0))
                 runs = list(_slices(values, bits))
-                yield _message([r[0] for r in runs], chunk, [entries[a:b].tobytes() for _, a, b in runs], [None] * len(runs))
+                yield _message([r[0] for r in runs], chunk, [packed(entries[a:b]) for _, a, b in runs], [None] * len(runs))
 
     return run
 
 
 def _meet(table: pa.Table) -> pa.Table:
     """Of one bucket: which entries of each chunk are an index block of one document and a probe of another."""
-    blobs = [np.frombuffer(x.as_py(), dtype=np.uint32) for x in table.column("entries")]
+    blobs = [unpacked(x.as_py()).astype(np.uint32) for x in table.column("entries")]
     every = np.concatenate(blobs)
     # Two hashes of one chunk may agree in these bits; they are then both looked at more closely.
     values, which, times = np.unique(every >> np.uint32(2), return_inverse=True, return_counts=True)
@@ -146,7 +158,8 @@ def _meet(table: pa.Table) -> pa.Table:
     several = (np.bincount(which[(every & 2) > 0], minlength=len(values)) > 0) | (times > 1)
     met, done, out = (index & several)[which], 0, []
     for blob in blobs:
-        out.append((blob[met[done : done + len(blob)]] & ~np.uint32(3)).tobytes())
+        hits = blob[met[done : done + len(blob)]] & ~np.uint32(3)
+        out.append(packed(hits) if len(hits) else b"")
         done += len(blob)
     return table.select(["bucket", "chunk"]).append_column("entries", pa.array(out, pa.binary())).append_column("owners", pa.nulls(len(out), pa.binary()))
 
@@ -159,7 +172,7 @@ def _candidates(bits: int):
             for chunk, payload, buckets, answers in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 part = _Part(payload.as_py())
                 at, hashed = part.windows(BLOCK)
-                found = [np.frombuffer(x, np.uint32).astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, x in zip(buckets, answers)]
+                found = [unpacked(x) | (np.uint64(b) << np.uint64(32)) for b, x in zip(buckets, answers)]
                 mine = _entries(hashed, bits).astype(np.uint64)
                 if bits:
                     mine |= (hashed >> np.uint64(64 - bits)) << np.uint64(32)
@@ -170,21 +183,22 @@ def _candidates(bits: int):
                 near = sums[at + WINDOW - BLOCK + 1] > sums[at]
                 values, _, low, _ = part.distinct(at[near], hashed[near])
                 runs = list(_slices(values, bits))
-                yield _message([r[0] for r in runs], chunk, [values[a:b].tobytes() for _, a, b in runs], [low[a:b].tobytes() for _, a, b in runs])
+                yield _message([r[0] for r in runs], chunk, [packed(values[a:b]) for _, a, b in runs], [packed(low[a:b]) for _, a, b in runs])
 
     return run
 
 
 def _earlier(table: pa.Table) -> pa.Table:
     """Of one bucket: the windows of each chunk that a document with a smaller id in another chunk has."""
-    blobs = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("entries")]
-    owners = np.concatenate([np.frombuffer(x.as_py(), dtype=np.int64) for x in table.column("owners")])
+    blobs = [unpacked(x.as_py()) for x in table.column("entries")]
+    owners = np.concatenate([unpacked(x.as_py()).view(np.int64) for x in table.column("owners")])
     values, which = np.unique(np.concatenate(blobs), return_inverse=True)
     low = np.full(len(values), np.iinfo(np.int64).max)
     np.minimum.at(low, which, owners)
     late, done, out = low[which] < owners, 0, []
     for blob in blobs:
-        out.append(blob[late[done : done + len(blob)]].tobytes())
+        hits = blob[late[done : done + len(blob)]]
+        out.append(packed(hits) if len(hits) else b"")
         done += len(blob)
     return table.select(["bucket", "chunk"]).append_column("entries", pa.array(out, pa.binary())).append_column("owners", pa.nulls(len(out), pa.binary()))
 
@@ -198,7 +212,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, which, low, _ = part.distinct(at, hashed)
             late = part.owner[at] > low[which]
             if answers:
-                late |= np.isin(values, np.concatenate([np.frombuffer(x, np.uint64) for x in answers]))[which]
+                late |= np.isin(values, np.concatenate([unpacked(x) for x in answers]))[which]
             flags = np.zeros(len(part.hashes), dtype=bool)
             flags[at[late]] = True
             gone, bounds = covered(flags, WINDOW), part.words.bounds
