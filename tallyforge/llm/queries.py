@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, lang_id, sql
+from tallyforge.llm import bpe, lang_id, line_crf, sql
 from tallyforge.llm.mixing import mix
 from tallyforge.llm.near_dedup import near_duplicates
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
@@ -51,3 +51,10 @@ def op7_language_id(spark, sf_dir):
 @query(sql.MIX)
 def op3_mix_sources(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), F.array("source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op10_quality_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = line_crf.fit(docs, table(spark, sf_dir, "labels"), F.col("quality") == 1)
+    return line_crf.judge(docs, field).drop("text")
