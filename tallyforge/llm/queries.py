@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyforge.llm import bpe, lang_id, line_crf, sql
+from tallyforge.llm.embedding_dedup import near_vectors
 from tallyforge.llm.mixing import mix
 from tallyforge.llm.near_dedup import near_duplicates
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
@@ -58,3 +59,8 @@ def op10_quality_lines(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     field = line_crf.fit(docs, table(spark, sf_dir, "labels"), F.col("quality") == 1)
     return line_crf.judge(docs, field).drop("text")
+
+
+@query(sql.NEAR_VECTORS)
+def op9_embedding_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -64,3 +64,15 @@ def mix_parts(source: str, n: str = "", columns: str = "doc_id, source") -> str:
 
 
 MIX = f"with {mix_parts('documents')} select doc_id, size, source_size, target, taken from mixed"
+
+NEAR_VECTORS = """with recursive
+    rows_ as (select vec_id, label, embedding::double[] as v from embeddings),
+    usable as (select vec_id, label, v, sqrt(list_inner_product(v, v)) as norm from rows_
+        where label is not null and v is not null and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0),
+    links as (select a.vec_id as x, b.vec_id as y from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+        where list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.98),
+    reach as (select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x),
+    lowest as (select x, min(y) as low from reach group by 1),
+    counted as (select x, count(*) as n from links group by 1)
+    select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, vec_id <= coalesce(low, vec_id) as kept
+    from rows_ left join counted on counted.x = vec_id left join lowest on lowest.x = vec_id"""
