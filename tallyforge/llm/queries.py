@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, lang_id, line_crf, sql
+from tallyforge.llm import bpe, lang_id, line_crf, sql, warc
 from tallyforge.llm.embedding_dedup import near_vectors
 from tallyforge.llm.mixing import mix
 from tallyforge.llm.near_dedup import near_duplicates
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
+from tallyforge.llm.storage import Scratch
 from tallyforge.llm.substring_dedup import remove_repeats
 
 
@@ -64,3 +65,20 @@ def op10_quality_lines(spark, sf_dir):
 @query(sql.NEAR_VECTORS)
 def op9_embedding_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(sql.WARC)
+def op2_warc(spark, sf_dir):
+    folder = Scratch(spark, "warc").folder()
+    warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), folder)
+    page = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) as bigint)")
+    responses = warc.read_warc(spark, folder).where("warc_type = 'response'").select(
+        page("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+        F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"),
+    )
+    digest = warc.base32_hex(F.substring_index("payload_digest", ":", -1))
+    revisits = warc.read_warc(spark, folder, payload=False).where("warc_type = 'revisit'").select(
+        page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), digest.alias("payload_digest"),
+        F.lit("revisit").alias("record_type"), page("refers_to").alias("refers_to"),
+    )
+    return responses.unionByName(revisits)

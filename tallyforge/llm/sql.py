@@ -76,3 +76,9 @@ NEAR_VECTORS = """with recursive
     counted as (select x, count(*) as n from links group by 1)
     select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, vec_id <= coalesce(low, vec_id) as kept
     from rows_ left join counted on counted.x = vec_id left join lowest on lowest.x = vec_id"""
+
+WARC = """with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as n from pages),
+    q as (select *, sha1(html) as digest, max(page_id) over (partition by html) as first from p)
+    select page_id, n as payload_bytes, digest as payload_digest,
+        case when n >= 1000 and page_id < first then 'revisit' else 'response' end as record_type,
+        case when n >= 1000 and page_id < first then first end as refers_to from q"""
