@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, lang_id, line_crf, sql, warc
+from tallyforge.llm import bpe, lang_id, line_crf, sql, token_files, warc
 from tallyforge.llm.embedding_dedup import near_vectors
 from tallyforge.llm.mixing import mix
 from tallyforge.llm.near_dedup import near_duplicates
+from tallyforge.llm.ngram_lm import score_texts
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
 from tallyforge.llm.storage import Scratch
 from tallyforge.llm.substring_dedup import remove_repeats
@@ -21,7 +22,7 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-RANKS = "byte_bpe_50k.tiktoken"
+WORDS, RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -82,3 +83,15 @@ def op2_warc(spark, sf_dir):
         F.lit("revisit").alias("record_type"), page("refers_to").alias("refers_to"),
     )
     return responses.unionByName(revisits)
+
+
+@query()
+def op5_token_files(spark, sf_dir):
+    folder = Scratch(spark, "tokens").folder()
+    token_files.write_tokens(table(spark, sf_dir, "documents"), vocabulary(WORDS), folder)
+    return token_files.read_tokens(spark, folder, ["ids_crc32"])
+
+
+@query()
+def op6_ngram_scores(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)

@@ -12,74 +12,27 @@ copies; the answer for a hash goes back to the chunk, which finds the places its
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.packing import bucket_bits, pack, packed, rows_of, slices, unpacked
 from tallyforge.llm.storage import Scratch, extended, prepare
-from tallyforge.llm.text import CHUNK_BYTES, Chunk, chunks, covered, find_words, span_hashes, window_hashes, window_starts
+from tallyforge.llm.text import Chunk, chunks, covered, find_words, span_hashes, window_hashes, window_starts
 
 WINDOW, BLOCK = 13, 7
-#: Bytes of text in one chunk row, and entries that one bucket should get.
-CHUNK_TEXT, BUCKET_ENTRIES = 4 * CHUNK_BYTES, 1 << 21
 _ENTRY_BITS = 30
 
 
-def packed(values: np.ndarray) -> bytes:
-    """64-bit numbers, best sorted: differences by byte plane, compressed."""
-    steps = np.diff(values.astype(np.uint64) if values.dtype != np.int64 else values.view(np.uint64), prepend=np.uint64(0))
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def unpacked(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
-def _payload(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _rows(payload: bytes) -> pa.Table:
-    return pa.ipc.open_stream(payload).read_all()
-
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Gather rows into chunks of about CHUNK_TEXT bytes."""
-    waiting, size = [], 0
-
-    def packed() -> pa.RecordBatch:
-        rows = pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
-        words = sum(int(find_words(c).bounds[-1]) for c in chunks(rows.column(1)))
-        return pa.RecordBatch.from_pydict(
-            {"chunk": pa.array([uuid.uuid4().int >> 65], pa.int64()), "n_words": pa.array([words], pa.int64()), "payload": pa.array([_payload(rows)], pa.binary())}
-        )
-
-    for batch in batches:
-        for chunk in chunks(batch.column(1), CHUNK_TEXT):
-            waiting.append(batch.slice(chunk.first, len(chunk)))
-            size += len(chunk.data)
-            if size >= CHUNK_TEXT:
-                yield packed()
-                waiting, size = [], 0
-    if waiting:
-        yield packed()
-
-
 class _Part:
     """Words, owners and hashes of a chunk; windows of documents without id count as absent."""
 
     def __init__(self, payload: bytes):
-        self.table = _rows(payload)
+        self.table = rows_of(payload)
         ids = self.table.column(0).combine_chunks()
         whole = list(chunks(self.table.column(1), 1 << 62))
         self.chunk = whole[0] if whole else Chunk(0, 0, np.zeros(0, np.uint8), np.zeros(1, np.int64))
@@ -106,14 +59,6 @@ class _Part:
         return values, which, low, high
 
 
-def _slices(values: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
-    """Runs of sorted hashes with the same leading bits."""
-    buckets = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
-    edges = np.flatnonzero(np.diff(buckets, prepend=-1))
-    for a, b in zip(edges, np.append(edges[1:], len(buckets))):
-        yield int(buckets[a]), int(a), int(b)
-
-
 def _entries(values: np.ndarray, bits: int) -> np.ndarray:
     """The bits of a hash after those that name its bucket, with room for two flags."""
     return ((values << np.uint64(bits)) >> np.uint64(64 - _ENTRY_BITS)).astype(np.uint32) << np.uint32(2)
@@ -142,7 +87,7 @@ def _probes(bits: int):
                 index = np.zeros(len(values), dtype=np.uint32)
                 index[which[(at - starts[at]) % BLOCK == 0]] = 1
                 entries = _entries(values, bits) | index | np.where(low < high, np.uint32(2), np.uint32(0))
-                runs = list(_slices(values, bits))
+                runs = list(slices(values, bits))
                 yield _message([r[0] for r in runs], chunk, [packed(entries[a:b]) for _, a, b in runs], [None] * len(runs))
 
     return run
@@ -182,7 +127,7 @@ def _candidates(bits: int):
                 at, hashed = part.windows(WINDOW)
                 near = sums[at + WINDOW - BLOCK + 1] > sums[at]
                 values, _, low, _ = part.distinct(at[near], hashed[near])
-                runs = list(_slices(values, bits))
+                runs = list(slices(values, bits))
                 yield _message([r[0] for r in runs], chunk, [packed(values[a:b]) for _, a, b in runs], [packed(low[a:b]) for _, a, b in runs])
 
     return run
@@ -239,10 +184,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     scratch = Scratch(docs.sparkSession, "substring-dedup")
     others = [c for c in docs.columns if c not in (id_column, text_column, "n_words", "n_removed", "kept_text")]
     rows = docs.select(F.col(id_column).cast("long").alias(id_column), text_column, *others)
-    packed = scratch.save(rows.mapInArrow(_pack, "chunk long, n_words long, payload binary"))
-    total = packed.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(0, (total // BUCKET_ENTRIES).bit_length())
-    parts = packed.select("chunk", "payload")
+    whole = scratch.save(pack(rows))
+    bits = bucket_bits(whole)
+    parts = whole.select("chunk", "payload")
     answered = (
         parts.mapInArrow(_probes(bits), _MESSAGE).groupBy("bucket").applyInArrow(_meet, _MESSAGE).where("octet_length(entries) > 0")
         .groupBy("chunk").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("entries").alias("answers"))
