@@ -24,14 +24,18 @@ def _json(text: str):
 
 # Six trials per run; ranks repeat, so the score and then the place in the list decide.
 RANK = "((o_custkey + {j} * 7) % 4)"
+# How the rank of each trial is written in JSON; a text with a fraction reads as 0, true as 1.
+RANK_TEXTS = ["{{{0}}}", "{{{0}}}", "{{{0}}}.0", '"{{{0}}}"', '"{{{0}}}.0"', "true"]
+RANK_SQL = f"case j when 4 then 0 when 5 then 1 else {RANK.format(j='j')} end"
 SCORE = "((o_orderkey * ({j} + 3)) % 97)"
 
 
 def _runs(spark, sf_dir):
     def listed(key, score, rank):
         rows = [
-            "<" + (f'"rank": {{{RANK.format(j=j)}}}, ' if rank else "")
-            + f'"{score}": {{{SCORE.format(j=j)}}}, "mean_fit_time": {{o_custkey % 3}}, "params": <"n_estimators": {j}, "max_depth": null>, "max_features": "sqrt">'
+            "<" + (f'"rank": {RANK_TEXTS[j].format(RANK.format(j=j))}, ' if rank else "")
+            + f'"{score}": {{{SCORE.format(j=j)}}}, "std_test_score": true, "mean_score_time": "0.25", "mean_fit_time": {{o_custkey % 3}}, '
+            + f'"params": <"n_estimators": {j}, "max_depth": null>, "max_features": "sqrt">'
             for j in range(6)
         ]
         return _json(f'<"{key}": [{", ".join(rows)}, 7]>')
@@ -45,35 +49,44 @@ def _runs(spark, sf_dir):
 
 
 TRIAL_ROWS = f"""t as (select o_orderkey, o_orderstatus, o_custkey, cast(j as bigint) as j,
-        case when o_orderstatus = 'F' then {RANK.format(j='j')} else j + 1 end as rank, cast({SCORE.format(j='j')} as double) as score
+        case when o_orderstatus = 'F' then {RANK_SQL} else j + 1 end as rank, cast({SCORE.format(j='j')} as double) as score
     from orders, range(6) as r(j) where o_orderstatus <> 'P'),
     top as (select *, row_number() over (partition by o_orderkey order by rank, score desc, j) as place from t)"""
 
 
 @query(f"""with {TRIAL_ROWS}
-    select o_orderkey, 'saved-top5' as source, rank, score as cv_macro_f1, cast(o_custkey % 3 as double) as mean_fit_time_s, cast(j as varchar) as n_estimators,
+    select o_orderkey, 'saved-top5' as source, rank, score as cv_macro_f1, cast(1 as double) as cv_f1_std, cast(o_custkey % 3 as double) as mean_fit_time_s,
+        cast(0.25 as double) as mean_score_time_s, cast(null as varchar) as min_samples_split, cast(j as varchar) as n_estimators,
         cast(null as varchar) as max_depth, 'sqrt' as max_features, cast(null as varchar) as class_weight,
         round(case when o_custkey % 3 > 0 then score / (o_custkey % 3) else 0 end, 7) as f1_per_fit_second
     from top where place <= 5
-    union all select o_orderkey, 'best-only', 1, 0.5, 0, cast(o_custkey as varchar), null, null, 'balanced', 0 from orders where o_orderstatus = 'P'""")
+    union all select o_orderkey, 'best-only', 1, 0.5, 0, 0, 0, null, cast(o_custkey as varchar), null, null, 'balanced', 0 from orders where o_orderstatus = 'P'""")
 def trial_table(spark, sf_dir):
     rows = trials.trial_table(_runs(spark, sf_dir), "best", "tuned")
-    return rows.withColumn("f1_per_fit_second", F.round("f1_per_fit_second", 7)).drop("cv_f1_std", "mean_score_time_s", "min_samples_split")
+    return rows.withColumn("f1_per_fit_second", F.round("f1_per_fit_second", 7))
 
 
 @query(f"""with {TRIAL_ROWS}
-    select cast(rank as varchar) as rank_label, cast(o_custkey % 3 as double) as mean_fit_time_s, score as cv_macro_f1, cast(0 as double) as cv_f1_std
+    select cast(rank as varchar) as rank_label, cast(o_custkey % 3 as double) as mean_fit_time_s, score as cv_macro_f1, cast(1 as double) as cv_f1_std,
+        cast(j as varchar) as n_estimators, cast(0.25 as double) as mean_score_time_s, cast(null as varchar) as max_depth, cast(null as varchar) as class_weight
     from top where place <= 5
-    union all select '1', 0, 0.5, 0 from orders where o_orderstatus = 'P'""")
+    union all select '1', 0, 0.5, 0, cast(o_custkey as varchar), 0, null, 'balanced' from orders where o_orderstatus = 'P'""")
 def trial_views(spark, sf_dir):
     rows = trials.trial_table(_runs(spark, sf_dir), "best", "tuned")
-    return trials.tradeoff_view(rows).select("rank_label", "mean_fit_time_s", "cv_macro_f1", "cv_f1_std")
+    return trials.tradeoff_view(rows)
 
 
-@query("""select o_orderkey, case o_orderstatus when 'F' then 'A=1,C=' || o_custkey when 'O' then 'B=' || o_orderkey else 'N=0,Y=1' end as mapping from orders""")
+@query(f"""with {TRIAL_ROWS}
+    select cast(rank as varchar) as rank_label, cast(1 as double) as cv_f1_std from top where place <= 5
+    union all select '1', 0 from orders where o_orderstatus = 'P'""")
+def stability_view(spark, sf_dir):
+    return trials.stability_view(trials.trial_table(_runs(spark, sf_dir), "best", "tuned"))
+
+
+@query("""select o_orderkey, case o_orderstatus when 'F' then 'A=1,C=' || o_custkey || ',D=1' when 'O' then 'B=' || o_orderkey else 'N=0,Y=1' end as mapping from orders""")
 def class_mapping(spark, sf_dir):
     report = _by_status(
-        _json('<"class_mapping": <"A": 1, "B": "x", "C": "{o_custkey}">, "target_encoding": <"Z": 9>>'),
+        _json('<"class_mapping": <"A": 1.0, "B": "x", "C": "{o_custkey}", "D": true, "E": "1.0">, "target_encoding": <"Z": 9>>'),
         _json('<"target_encoding": <"B": {o_orderkey}>, "class_mapping": null>'),
         F.lit('{"class_mapping": [1, 2], "target_encoding": {"B": 5}}'),
     )

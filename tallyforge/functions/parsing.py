@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +70,26 @@ def integer_or_zero(column: Column, dtype: DataType | None = None) -> Column:
     return F.coalesce(strict_long(column.cast("string")), F.lit(0).cast("bigint"))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _by_kind(value: Column, kind: str, of_text: Callable[[Column], Column]) -> Column:
+    is_text = lambda v: F.schema_of_variant(v) == "STRING"
+    return bound(value, lambda v: F.when(is_text(v), of_text(F.try_variant_get(v, "$", "string"))).otherwise(F.try_variant_get(v, "$", kind)))
+
+
+def json_number(value: Column) -> Column:
+    """Double of a parsed JSON value: a number, a boolean (0 or 1) or the text of a number, else NULL."""
+    return _by_kind(value, "double", strict_double)
+
+
+def json_integer(value: Column) -> Column:
+    """Integer of a parsed JSON value: a number without its fraction, a boolean, or the text of an integer, else NULL."""
+    return _by_kind(value, "bigint", strict_long)
+
+
 def display_text(column: Column, dtype: DataType) -> Column:
     """Non-numeric column as text with NULL as the empty string; numbers stay."""
     if isinstance(dtype, NumericType):

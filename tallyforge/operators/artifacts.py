@@ -8,7 +8,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.parsing import strict_double, strict_long
+from tallyforge.functions.parsing import bound, json_integer, json_number
 from tallyforge.spec import IMBALANCE_LIMIT
 
 # Where a report may hold the advice and the ratio, in this order.
@@ -17,6 +17,7 @@ RATIO_PATHS = (
     "$.majority_minority_ratio", "$.imbalance_ratio",
     "$.class_balance.majority_minority_ratio", "$.imbalance_assessment.majority_to_minority_ratio",
 )
+MAPPING_PATHS = ("$.class_mapping", "$.target_encoding")
 METRIC_KEYS = ("accuracy", "f1_macro", "confusion_matrix", "per_class_metrics")
 # Messages of the consistency check.
 ISSUES = {
@@ -32,24 +33,29 @@ ISSUES = {
 
 def needs_balancing(report: Column, limit: float = IMBALANCE_LIMIT) -> Column:
     """Whether a JSON report advises class weights: by text, else by its ratio, else not."""
-    document = F.try_parse_json(report)
 
-    def tells(path: str) -> Column:
-        # Only a text counts as advice, not an object that holds the word.
-        is_text = F.schema_of_variant(F.try_variant_get(document, path, "variant")) == "STRING"
-        says = F.lower(F.try_variant_get(document, path, "string")).contains("balanced")
-        return F.coalesce(is_text & says, F.lit(False))
+    def advises(document: Column) -> Column:
+        def tells(path: str) -> Column:
+            # Only a text counts as advice, not an object that holds the word.
+            is_text = F.schema_of_variant(F.try_variant_get(document, path, "variant")) == "STRING"
+            says = F.lower(F.try_variant_get(document, path, "string")).contains("balanced")
+            return F.coalesce(is_text & says, F.lit(False))
 
-    told = tells(ADVICE_PATHS[0]) | tells(ADVICE_PATHS[1])
-    ratio = strict_double(F.coalesce(*[F.get_json_object(report, path) for path in RATIO_PATHS]))
-    return told | F.coalesce(ratio > limit, F.lit(False))
+        given = [F.try_variant_get(document, path, "variant") for path in RATIO_PATHS]
+        ratio = json_number(F.coalesce(*[F.when(~F.is_variant_null(value), value) for value in given]))
+        return tells(ADVICE_PATHS[0]) | tells(ADVICE_PATHS[1]) | F.coalesce(ratio > limit, F.lit(False))
+
+    return F.coalesce(bound(F.try_parse_json(report), advises), F.lit(False))
 
 
 def class_mapping(report: Column, default: Mapping[str, int]) -> Column:
-    """Label to id as the report says; entries without an integer are skipped."""
-    text = F.coalesce(F.get_json_object(report, "$.class_mapping"), F.get_json_object(report, "$.target_encoding"))
-    entries = F.from_json(text, "map<string,string>")
-    parsed = F.map_filter(F.transform_values(entries, lambda _, v: strict_long(v)), lambda _, v: v.isNotNull())
+    """Label to id as the report says; a number loses its fraction, entries that are no integer are skipped."""
+    def ids(document: Column) -> Column:
+        given = [F.try_variant_get(document, path, "variant") for path in MAPPING_PATHS]
+        chosen = F.coalesce(*[F.when(~F.is_variant_null(value), value) for value in given])
+        return F.transform_values(F.try_variant_get(chosen, "$", "map<string,variant>"), lambda _, v: json_integer(v))
+
+    parsed = F.map_filter(bound(F.try_parse_json(report), ids), lambda _, v: v.isNotNull())
     known = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v).cast("bigint")) for k, v in default.items()))
     return F.when(F.size(F.map_keys(parsed)) > 0, parsed).otherwise(known)
 

@@ -19,9 +19,9 @@ EMPTY, BAD, LABEL_TEXT = "_empty_", "_bad_", "_label_text"
 
 def check_columns(df: DataFrame, spec: TableSpec) -> None:
     """Raise when a required column is absent or two names differ by case only."""
-    absent = sorted(set(spec.required) - set(df.columns))
-    if absent:
-        raise ValueError(f"Missing required columns: {absent}")
+    lacking = set(spec.required).difference(df.columns)
+    if lacking:
+        raise ValueError(f"The table lacks {sorted(lacking)}, which its contract names.")
     folded: dict[str, str] = {}
     for name in df.columns:
         other = folded.setdefault(name.lower(), name)

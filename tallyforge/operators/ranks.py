@@ -3,8 +3,8 @@
 Rows are ordered by ``md5(seed|key)`` inside each group. To find the row of a given rank, the
 hash is narrowed three hex digits at a time: rows are counted per leading digits, the running
 count shows which digits hold the rank, and only rows below those digits are counted next. Each
-step shuffles counts, at most 4096 per group and per open cut, never rows; once few rows are left
-below the open digits, the rest of the hash is taken in one step. The result is one
+step shuffles counts, at most 4096 per group and per open cut, never rows; once every open bin holds
+a single hash, the rest of its digits is taken in one step. The result is one
 boundary text per cut, and a row finds its segment by comparing its hash with the boundaries.
 A group that holds most of the table is therefore no slower than a small one.
 
@@ -29,7 +29,6 @@ HASH_DIGITS = 32
 # Sorts after every hex digit, so ``prefix + AFTER`` lies behind all hashes with that prefix.
 AFTER = "g"
 COPIES_PER_CHUNK = 100_000
-JUMP_ROWS = 1_000_000
 
 Sizer = Callable[[DataFrame], DataFrame]
 
@@ -79,9 +78,8 @@ def _narrow(
         open_cuts = hits.filter(F.col("rank") < F.col("n"))
         if width >= limit or open_cuts.isEmpty():
             return done, open_cuts
-        spread = open_cuts.select(*groups, PREFIX, F.when(F.col("single"), 0).otherwise(F.col("n")).alias("m")).distinct()
-        # Few rows, or bins of one hash: the remaining digits give few bins at once.
-        step = limit - width if spread.agg(F.sum("m")).first()[0] <= JUMP_ROWS else min(STEP, limit - width)
+        # Bins of one hash stay one bin each, however many digits are added.
+        step = limit - width if open_cuts.filter(~F.col("single")).isEmpty() else min(STEP, limit - width)
         bins = _bins(_below(rows, open_cuts, groups, width), groups, width, step)
         hits = settle(_hits(open_cuts, bins, groups))
         width += step

@@ -79,7 +79,7 @@ def prepare_table(
 
 
 def prepare(
-    spark: SparkSession, folder: str, output: str, spec: TableSpec = SKY_OBJECTS, first_only: bool = True,
+    spark: SparkSession, folder: str, output: str, spec: TableSpec = SKY_OBJECTS, first_only: bool = False,
     key: Sequence[str] | None = None,
 ) -> DataFrame:
     """``prepare_table`` on the CSV of a folder."""

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side with at most this many (narrow) rows may be broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 100_000
 
 
 def get_session(app: str = "tallyforge", conf: Mapping[str, str] | None = None) -> SparkSession:
@@ -46,14 +43,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute an aggregated table once.
+def settle(df: DataFrame) -> DataFrame:
+    """Compute an aggregated table once, into the shared folder, and read it back.
 
-    Up to ``max_rows`` rows it becomes a local relation marked for broadcast. A larger one goes
-    to the checkpoint folder and is joined by shuffle, so its size never meets a single process.
+    It never passes the driver. Its size in bytes is then known, and Spark itself decides by its broadcast threshold
+    how to join it. The files go when the application ends.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        # One partition: what follows on so few rows needs no exchange.
-        return F.broadcast(df.sparkSession.createDataFrame(head, df.schema).coalesce(1))
-    return checkpointed(df)
+    ensure_checkpoint_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{context.getCheckpointDir()}/settled-{uuid.uuid4().hex}")
+    df.write.parquet(folder.toString())
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder.toString())

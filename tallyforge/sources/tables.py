@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -47,18 +48,20 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], multiline: bo
     return read_missing_tokens(raw)
 
 
-def read_folder(spark: SparkSession, folder: str, first_only: bool = True) -> tuple[DataFrame, list[str]]:
-    """The alphabetically first CSV of a folder, or all of them; also the files that were read."""
+def read_folder(spark: SparkSession, folder: str, first_only: bool = False) -> tuple[DataFrame, list[str]]:
+    """All CSV files of a folder, and their paths. ``first_only`` takes the alphabetically first one and warns of the others."""
     files = csv_files(spark, folder)
-    chosen = files[:1] if first_only else files
-    return read_delimited(spark, chosen), chosen
+    if first_only and files[1:]:
+        warnings.warn(f"{len(files) - 1} files of {folder} are not read: {files[1:6]}", stacklevel=2)
+        files = files[:1]
+    return read_delimited(spark, files), files
 
 
 def select_required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only the given columns, in order; all must exist."""
-    absent = [name for name in columns if name not in df.columns]
-    if absent:
-        raise ValueError(f"Missing required columns: {', '.join(absent)}")
+    lacking = set(columns).difference(df.columns)
+    if lacking:
+        raise ValueError(f"The table has {df.columns} and lacks {sorted(lacking)}.")
     return df.select(*columns)
 
 
@@ -78,26 +81,30 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _existing(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """Those of the named tables that exist, in the order of the names."""
+    tried = {name: read_if_exists(spark, f"{folder}/{name}") for name in names}
+    return {name: df for name, df in tried.items() if df is not None}
+
+
 def read_split(
     spark: SparkSession, folder: str, candidates: Sequence[tuple[str, str, str]]
 ) -> tuple[DataFrame, DataFrame, tuple[str, str, str]]:
     """First candidate pair of which both tables exist, with its names and variant."""
-    for pair in candidates:
-        train, test = (read_if_exists(spark, f"{folder}/{name}") for name in pair[:2])
-        if train is not None and test is not None:
-            return train, test, pair
-    checked = ", ".join(f"{a}/{b}" for a, b, _ in candidates)
-    raise FileNotFoundError(f"No train and test pair in {folder}; checked {checked}")
+    there = _existing(spark, folder, [name for pair in candidates for name in pair[:2]])
+    whole = [pair for pair in candidates if there.keys() >= set(pair[:2])]
+    if not whole:
+        raise FileNotFoundError(f"{folder} has no complete split, only {sorted(there)} of the tables looked for.")
+    return there[whole[0][0]], there[whole[0][1]], whole[0]
 
 
 def read_profile_table(spark: SparkSession, folder: str, variant: str = "cleaned") -> DataFrame:
     """Table to profile: the wanted variant before the other one, train before test."""
     pairs = [CLEAN_PAIR, ENGINEERED_PAIR] if variant == "cleaned" else [ENGINEERED_PAIR, CLEAN_PAIR]
-    for name in [name for pair in pairs for name in pair[:2]]:
-        df = read_if_exists(spark, f"{folder}/{name}")
-        if df is not None:
-            return df
-    raise FileNotFoundError(f"No prepared table in {folder}")
+    there = _existing(spark, folder, [name for pair in pairs for name in pair[:2]])
+    if not there:
+        raise FileNotFoundError(f"{folder} has none of the prepared tables.")
+    return next(iter(there.values()))
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -142,12 +142,16 @@ def test_samples(spark):
     assert s.paired_rows(sample, other, ["k"]).count() == 123
 
 
-def test_many_groups_take_the_shuffled_way(spark, monkeypatch):
-    """Beyond the broadcast bound the small tables go through the checkpoint folder."""
-    monkeypatch.setattr("tallyforge.session.settle.__defaults__", (2,))
+def test_many_groups_are_joined_by_shuffle(spark):
+    """Beyond the broadcast threshold the small tables are joined by shuffle, with the same result."""
     df = classes(spark, {c: 5 for c in range(6)})
-    train, test = s.stratified_split(df, "c", 0.2, key=["k"])
-    assert set(tally(train, "c").values()) == {4} and set(tally(test, "c").values()) == {1}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        train, test = s.stratified_split(df, "c", 0.2, key=["k"])
+        assert set(tally(train, "c").values()) == {4} and set(tally(test, "c").values()) == {1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
 def test_no_window_over_rows_and_no_python(spark):
