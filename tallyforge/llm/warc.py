@@ -186,7 +186,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Range | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # Spark reads one empty partition where none is planned
+            return
         system, _ = _open(self.path)
         rows, size = [], 0
         with system.open_input_file(partition.path) as file:
