@@ -129,7 +129,8 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     usable = labelled.where(lang.isNotNull() & has_letter(text)).select(lang.alias("lang"), F.xxhash64(F.col(id_column), text).alias("place"), text.alias("text"))
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.pmod("place", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = usable.join(sizes, "lang").where(share * F.col("n") < sample).select("lang", "place", "text")
+    # One row per language, so the texts stay where they are.
+    chosen = usable.join(F.broadcast(sizes), "lang").where(share * F.col("n") < sample).select("lang", "place", "text")
     vectors = scratch.save(chosen.mapInArrow(_sample_vectors, "lang string, place long, cells array<int>, counts array<int>"))
     spread = vectors.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("df")).toPandas()
     total = vectors.count()
