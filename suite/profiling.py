@@ -59,13 +59,13 @@ def correlation(spark, sf_dir):
     return matrix.withColumn("correlation", F.round("correlation", 9))
 
 
-@query("""with long as (select 'value' as feature, value as v from events),
+@query("""with long as (unpivot (select l_quantity, l_extendedprice, l_discount, l_tax from lineitem) on * into name feature value v),
     ends as (select feature, min(v) as lo, max(v) as hi from long group by 1),
     bins as (select feature, lo, hi, least(cast(floor((v - lo) / (hi - lo) * 40) as bigint), 39) + 1 as bin from long join ends using (feature))
     select feature, bin, round(lo + (hi - lo) * (bin - 1) / 40, 7) as bin_start, round(lo + (hi - lo) * bin / 40, 7) as bin_end, count(*) as rows
     from bins group by feature, bin, lo, hi""")
 def histogram(spark, sf_dir):
-    bins = ops.histogram(table(spark, sf_dir, "events"), ["value"])
+    bins = ops.histogram(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return bins.withColumn("bin_start", F.round("bin_start", 7)).withColumn("bin_end", F.round("bin_end", 7))
 
 
@@ -104,8 +104,7 @@ def kde(spark, sf_dir):
     return curves.withColumn("x", F.round("x", 7)).withColumn("density", F.round("density", 9))
 
 
-@query("""select l_returnflag, 'l_quantity' as feature_x, 'l_extendedprice' as feature_y, l_quantity as x, l_extendedprice as y from lineitem
-    union all select l_returnflag, 'l_extendedprice', 'l_quantity', l_extendedprice, l_quantity from lineitem""")
+@query("""select l_returnflag, 'l_quantity' as feature_x, 'l_extendedprice' as feature_y, l_quantity as x, l_extendedprice as y from lineitem""")
 def pair_points(spark, sf_dir):
     return ops.pair_points(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], "l_returnflag")
 

@@ -32,11 +32,11 @@ def split_scan(spark, sf_dir):
     return train.withColumn("variant", F.lit(names[2]))
 
 
-@query(f"with {BANDS_SQL} select {KEYS}, q from bands where q >= 25")
+@query(f"with {BANDS_SQL} select {KEYS}, q from bands")
 def profile_scan(spark, sf_dir):
     """Table to profile when only one test table is left."""
     folder = scratch(spark)
-    tables.write_tables({tables.CLEAN_PAIR[1]: band_lines(spark, sf_dir).filter("q >= 25")}, folder)
+    tables.write_tables({tables.CLEAN_PAIR[1]: band_lines(spark, sf_dir)}, folder)
     return tables.read_profile_table(spark, folder, "engineered").select(*KEY, "q")
 
 

@@ -40,14 +40,15 @@ def split_valid(inputs: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFram
 def prepare_inputs(df: DataFrame, spec: TableSpec, feature_mode: str, on_invalid: str = "reject", keep_raw: bool = False) -> DataFrame:
     """Numbers and derived features of a batch.
 
-    ``reject`` raises when any cell is missing or no number, ``quarantine`` leaves those rows out.
+    With ``reject`` the job that reads the result fails at the first cell that is missing or no number, in the same
+    pass; ``quarantine`` leaves those rows out.
     """
     inputs = coerce_inputs(df, spec, keep_raw)
-    valid, invalid = split_valid(inputs, spec)
     if on_invalid == "reject":
-        if not invalid.isEmpty():
-            raise ValueError("Some rows have missing or non-numeric cells.")
-        valid = inputs
+        stop = F.raise_error(F.lit("A row to score has a cell that is missing or no number.")).cast("boolean")
+        valid = inputs.filter(F.when(_invalid(spec.numeric), stop).otherwise(True))
+    else:
+        valid, _ = split_valid(inputs, spec)
     return engineer(valid, spec) if feature_mode == "engineered" else valid
 
 

@@ -126,10 +126,10 @@ def density_curves(df: DataFrame, features: Sequence[str], target: str, points:
 
 
 def pair_points(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """The points of every ordered pair of distinct features, with their class."""
+    """The points of every pair of distinct features, once per pair, with their class. Meant for a sample of the rows."""
     cells = [
         F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(a).alias("x"), F.col(b).alias("y"))
-        for a in features for b in features if a != b
+        for a, b in combinations(features, 2)
     ]
     return df.dropna(subset=list(features)).select(target, F.inline(F.array(*cells)))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.models.forest import BASELINE, BINS, evaluate_forest, feature_importance, train_forest
+from tallyforge.models.forest import BASELINE, BINS, LAYOUT, evaluate_forest, feature_importance, train_forest
 from tallyforge.models.registry import model_entry, save_model, write_registry
 from tallyforge.models.search import BALANCED_SPACE, SPACE, random_search
 from tallyforge.operators.artifacts import class_mapping, needs_balancing
@@ -66,7 +66,7 @@ def train(
     baseline: dict[str, object] = BASELINE,
     key: Sequence[str] | None = None,
     max_bins: int = BINS,
-    partitions: int = 0,
+    partitions: int = LAYOUT,
 ) -> dict[str, DataFrame]:
     """Fit the baseline, a tuned model on the clean and one on the engineered features.
 

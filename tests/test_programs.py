@@ -125,8 +125,8 @@ def test_scoring_rejects_or_sets_aside(spark, world, tmp_path):
     bad = sky_rows(10)
     bad[4][2] = "oops"
     path = write_csv(tmp_path / "in.csv", [HEADER, *bad])
-    with pytest.raises(ValueError):
-        score_file(spark, path, str(world / "models"), "tuned", sky_spec())
+    with pytest.raises(Exception, match="missing or no number"):
+        score_file(spark, path, str(world / "models"), "tuned", sky_spec()).collect()
     assert score_file(spark, path, str(world / "models"), "tuned", sky_spec(), on_invalid="quarantine").count() == 9
     with pytest.raises(ValueError, match="redshift"):
         scoring.coerce_inputs(tables.read_delimited(spark, path).drop("redshift"), SKY_OBJECTS)
@@ -160,6 +160,9 @@ def test_same_seed_same_forest(spark, tmp_path):
     again = load_model(str(tmp_path / "m"))
     assert sorted(map(tuple, forest.evaluate_forest(again, df, "label").collect())) == sorted(map(tuple, forest.evaluate_forest(one, df, "label").collect()))
     assert forest.model_features(again) == ["x", "y"]
+    for pieces in (2, 4, 8):
+        other = forest.train_forest(df.repartition(pieces), ["x", "y"], "label", params)
+        assert [tuple(r) for r in forest.feature_importance(other, df).collect()] == [tuple(r) for r in forest.feature_importance(one, df).collect()]
 
 
 def test_forest_settings():
