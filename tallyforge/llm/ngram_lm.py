@@ -224,7 +224,10 @@ def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", te
     totals = counted.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
     by_level = {r["pos"]: r["n"] for r in counted.select(F.posexplode("level_tokens")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
     answers = counted.groupBy("chunk").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("counts").alias("answers"))
-    told = parts.join(answers, "chunk").select("chunk", "payload", "buckets", "answers")
+    # Both passes below read the chunks with their counts; the tables that these come from can go.
+    told = scratch.save(parts.join(answers, "chunk").select("chunk", "payload", "buckets", "answers"))
+    scratch.drop(whole)
+    scratch.drop(counted)
     made = told.mapInArrow(_bigram_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_fill_slice(filter_bits >> bits), _SLICE)
     # The slices together have FILTER_BITS at most.
     found = sorted(made.toLocalIterator(), key=lambda r: r["bucket"])
