@@ -13,6 +13,7 @@ from tallyforge.functions.labels import encode_label
 from tallyforge.functions.parsing import is_missing, null_if_token, select_once, strict_double, tidy_label
 from tallyforge.spec import TableSpec
 
+READING = "_reading_"
 ROW_FLAGS = MISSING_ROW, MALFORMED_ROW, UNKNOWN_ROW = "_missing", "_malformed", "_unknown"
 EMPTY, BAD, LABEL_TEXT = "_empty_", "_bad_", "_label_text"
 
@@ -156,11 +157,16 @@ def raw_label_counts(df: DataFrame, target: str) -> DataFrame:
     return df.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("rows")).orderBy("label")
 
 
-def numeric_extras(df: DataFrame, columns: list[str]) -> list[str]:
-    """Columns outside the contract whose every present cell reads as a number."""
+def with_readings(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Table with the numeric reading of each of the columns next to it."""
+    return df.withColumns({READING + c: strict_double(F.col(c), df.schema[c].dataType) for c in columns}) if columns else df
+
+
+def settle_readings(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns outside the contract become numbers when every present cell reads as one; the readings go."""
     if not columns:
-        return []
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    tests = [F.bool_and(strict_double(F.col(c), fields[c]).isNotNull() | F.col(c).isNull()).alias(c) for c in columns]
+        return df
+    tests = [F.coalesce(F.bool_and(F.col(READING + c).isNotNull() | F.col(c).isNull()), F.lit(True)).alias(c) for c in columns]
     verdict = df.agg(*tests).first()
-    return [c for c in columns if verdict[c]]
+    chosen = [F.col(READING + c).alias(c) if c in columns and verdict[c] else F.col(c) for c in df.columns if not c.startswith(READING)]
+    return df.select(*chosen)

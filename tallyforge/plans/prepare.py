@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.ordering import row_text
-from tallyforge.functions.parsing import strict_double
 from tallyforge.operators.features import added_columns, engineer
 from tallyforge.operators.quality import (
-    check_columns, drop_id_columns, feature_columns, flag_rows, keep_clean, numeric_extras, quality_report,
+    check_columns, drop_id_columns, feature_columns, flag_rows, keep_clean, quality_report, settle_readings, with_readings,
 )
 from tallyforge.operators.reports import preparation_report
 from tallyforge.operators.stratify import mark_split
-from tallyforge.sources.documents import write_document
+from tallyforge.sources.documents import read_document, write_document
 from tallyforge.sources.tables import CLEAN_PAIR, ENGINEERED_PAIR, read_folder, write_parquet
 from tallyforge.spec import SKY_OBJECTS, TableSpec
 
@@ -23,17 +22,15 @@ REPORT = "preprocessing_report.json"
 STAGED, SPLIT, ROW = "_staged.parquet", "_split.parquet", "_row"
 
 
-def _read_extras(df: DataFrame, spec: TableSpec, carried: Sequence[str]) -> DataFrame:
-    """Columns outside the contract become numbers when every cell is one."""
-    extras = [c for c in df.columns if c not in spec.required and c not in carried]
-    numeric = set(numeric_extras(df, extras))
-    return df.select(*[strict_double(F.col(c), df.schema[c].dataType).alias(c) if c in numeric else F.col(c) for c in df.columns])
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def prepare_table(
     raw: DataFrame, output: str, spec: TableSpec = SKY_OBJECTS, source: str = "", key: Sequence[str] | None = None
 ) -> DataFrame:
-    """Clean, split, derive and write; returns the report that is also written, last of all.
+    """Clean, split, derive and write; returns the report as it is read back, which is written last of all.
 
     The parsed table is written once, so the text is parsed once and every later pass reads only
     the columns it needs.
@@ -47,9 +44,11 @@ def prepare_table(
         raw, key = raw.withColumn(ROW, F.md5(row_text(raw))), [ROW]
     # The key is needed until the split, id columns included.
     carried = [c for c in key if c in dropped or c == ROW]
-    typed = _read_extras(raw.drop(*[c for c in dropped if c not in carried]), spec, carried)
-    write_parquet(flag_rows(typed, spec), staged_path)
-    staged = spark.read.parquet(staged_path)
+    texts = raw.drop(*[c for c in dropped if c not in carried])
+    extras = [c for c in texts.columns if c not in spec.required and c not in carried]
+    # Both readings of an extra column are staged, so that the choice between them needs no second parse.
+    write_parquet(with_readings(flag_rows(texts, spec), extras), staged_path)
+    staged = settle_readings(spark.read.parquet(staged_path), extras)
 
     clean = keep_clean(staged, spec)
     write_parquet(mark_split(clean, spec.target, spec.test_share, spec.seed, key), split_path)
@@ -74,8 +73,11 @@ def prepare_table(
             "engineered_train_parquet": ENGINEERED_PAIR[0], "engineered_test_parquet": ENGINEERED_PAIR[1],
         },
     )
+    schema = report.schema
     write_document(report, f"{output}/{REPORT}")
-    return report
+    for path in (staged_path, split_path):
+        _remove(spark, path)
+    return read_document(spark, f"{output}/{REPORT}", schema)
 
 
 def prepare(

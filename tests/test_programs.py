@@ -36,7 +36,7 @@ def world(spark, tmp_path_factory):
     rows[0][3], rows[1][-2], rows[2][4] = "NA", "COMET", "1.0f"
     write_csv(root / "raw" / "b.csv", [["x"], [1]])
     write_csv(root / "raw" / "a one.csv", [HEADER, *rows])
-    prepare(spark, str(root / "raw"), str(root / "prepared"))
+    prepare(spark, str(root / "raw"), str(root / "prepared"), first_only=True)
     train(spark, str(root / "prepared"), str(root / "models"), n_iter=2, folds=2, space=SPACE, max_rows=200,
           baseline=forest.BASELINE | {"n_estimators": 5, "max_depth": 4}, parallelism=2)
     return root

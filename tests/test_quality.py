@@ -84,8 +84,9 @@ def test_column_contract(spark):
 
 def test_extra_columns(spark):
     df = spark.createDataFrame([("1", "x", None), (" 2.5 ", "3", "4")], "a string, b string, c string")
-    assert q.numeric_extras(df, ["a", "b", "c"]) == ["a", "c"]
-    assert q.numeric_extras(df, []) == []
+    settled = q.settle_readings(q.with_readings(df, ["a", "b", "c"]), ["a", "b", "c"])
+    assert settled.columns == df.columns and [c for c in ("a", "b", "c") if dict(settled.dtypes)[c] == "double"] == ["a", "c"]
+    assert q.settle_readings(q.with_readings(df, []), []) is df
 
 
 @pytest.mark.parametrize(("text", "value"), [
