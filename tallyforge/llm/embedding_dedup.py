@@ -99,8 +99,8 @@ def estimates(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (codes @ turned.T) / factor[:, None], bound
 
 
-def _block_links(bits: int, tables: int, cosine: float):
-    """Links of one block of a bucket. A pair that meets in several buckets is looked at in the first one only."""
+def _block_links(cosine: float):
+    """What the links of one block of a bucket join. A pair that meets in several buckets is looked at in the first one only."""
 
     def run(table: pa.Table) -> pa.Table:
         nodes, sides = table.column("node").to_numpy(), table.column("side").to_numpy()
@@ -118,7 +118,18 @@ def _block_links(bits: int, tables: int, cosine: float):
         i, j = i[first], j[first]
         exact = np.einsum("ij,ij->i", units[i], units[j])
         i, j = i[exact >= cosine], j[exact >= cosine]
-        return pa.table({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])})
+        # Each linked node once, with the copies that it is linked to here and the least node it is joined with here.
+        copies = table.column("copies").to_numpy()
+        others = np.bincount(i, copies[j], len(nodes)) + np.bincount(j, copies[i], len(nodes))
+        low = nodes.copy()
+        while True:
+            before = low.copy()
+            np.minimum.at(low, i, before[j])
+            np.minimum.at(low, j, before[i])
+            if (low == before).all():
+                break
+        linked = np.flatnonzero(others)
+        return pa.table({"node": nodes[linked], "low": low[linked], "others": others[linked].astype(np.int64)})
 
     return run
 
@@ -131,7 +142,7 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     directly, ``component_id`` is the least id reachable. Rows that repeat an id count one by one. Other columns are not read.
 
     Rows with equal label and vector form one class of counted copies. Classes that share a bucket are compared in
-    blocks of bounded size; a block gives out links only. Buckets have as many bits as the largest label needs for
+    blocks of bounded size; a block gives out a row per linked class, never pairs. Buckets have as many bits as the largest label needs for
     a bounded number of unlike vectors in each, and their number follows from MISS.
     """
     spark = vectors.sparkSession
@@ -155,12 +166,10 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
         F.least(F.col("own"), k).alias("i"), F.greatest(F.col("own"), k).alias("j"), F.when(F.col("own") == k, 2).when(F.col("own") < k, 0).otherwise(1).alias("side")
     )
     blocks = shared.withColumn("cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), cell))).select("bucket", "number", "node", "cell.*")
-    full = blocks.join(classes.select("node", "vector"), "node").join(codes, "node")
-    links = scratch.save(full.groupBy("bucket", "i", "j").applyInArrow(_block_links(bits, tables, cosine), "a long, b long").distinct())
-    labels = components(links, scratch)
-    copies = classes.select("node", "copies")
-    ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    direct = ways.join(copies, F.col("b") == F.col("node")).groupBy("a").agg(F.sum("copies").alias("others"))
+    full = blocks.join(classes.select("node", "copies", "vector"), "node").join(codes, "node")
+    joined = scratch.save(full.groupBy("bucket", "i", "j").applyInArrow(_block_links(cosine), "node long, low long, others long"))
+    labels = components(joined.select(F.col("node").alias("a"), F.col("low").alias("b")), scratch)
+    direct = joined.groupBy(F.col("node").alias("a")).agg(F.sum("others").alias("others"))
     named = (
         classes.select("key", F.col("node").alias("rep"), "copies").join(labels, F.col("rep") == F.col("node"), "left").join(direct, F.col("rep") == F.col("a"), "left")
         .select("key", F.coalesce("component", "rep").alias("component"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
