@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.packing import bucket_bits, pack, packed, rows_of, slices, unpacked
+from tallyforge.llm.packing import CHUNK_TEXT, bucket_bits, pack, packed, rows_of, slices, unpacked
 from tallyforge.llm.storage import Scratch, prepare
 from tallyforge.llm.text import Chunk, chunks, find_words, mix, span_hashes
 
@@ -217,7 +217,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", te
     prepare(spark)
     scratch = Scratch(spark, "ngram-lm")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    whole = scratch.save(pack(rows))
+    whole = scratch.save(pack(rows, CHUNK_TEXT // 2))  # a worker also holds the filter
     bits = bucket_bits(whole)
     parts = whole.select("chunk", "payload")
     counted = scratch.save(parts.mapInArrow(_word_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_sum_words, _COUNTED))

@@ -43,8 +43,8 @@ def rows_of(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
-def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Gather rows into chunks of about CHUNK_TEXT bytes."""
+def _pack_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Gather rows into chunks of about ``limit`` bytes of text."""
     waiting, size = [], 0
 
     def packed() -> pa.RecordBatch:
@@ -55,19 +55,19 @@ def _pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
     for batch in batches:
-        for chunk in chunks(batch.column(1), CHUNK_TEXT):
+        for chunk in chunks(batch.column(1), limit):
             waiting.append(batch.slice(chunk.first, len(chunk)))
             size += len(chunk.data)
-            if size >= CHUNK_TEXT:
+            if size >= limit:
                 yield packed()
                 waiting, size = [], 0
     if waiting:
         yield packed()
 
 
-def pack(rows: DataFrame) -> DataFrame:
+def pack(rows: DataFrame, limit: int = CHUNK_TEXT) -> DataFrame:
     """Chunk rows of a table whose second column is the text."""
-    return rows.mapInArrow(_pack_batches, "chunk long, n_words long, payload binary")
+    return rows.mapInArrow(lambda batches: _pack_batches(batches, limit), "chunk long, n_words long, payload binary")
 
 
 def bucket_bits(chunk_rows: DataFrame) -> int:
