@@ -51,9 +51,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, with the digest of what they decode to."""
-    ranks = vocabulary(RANKS)
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, ends=None).drop("text"), ranks)
-    return decoded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary(RANKS), ends=None, digest="decoded_sha256")
+    return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "decoded_sha256")
 
 
 STAGES = [("language ID", language), ("MinHash near-dedup", near_copies), ("substring dedup", passages), ("mixing", mix), ("byte-level BPE", tokens)]
