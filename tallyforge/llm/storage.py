@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -29,7 +30,8 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     archive.write(path, os.path.relpath(path, os.path.dirname(package)))
-    context.addPyFile(target)
+    context.addPyFile(target)  # Spark serves it from here to all executors
+    atexit.register(lambda: os.path.exists(target) and os.unlink(target))
     _shipped.add(context.applicationId)
 
 
