@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.storage import extended, prepare
-from tallyforge.llm.text import Chunk, chunks, span_hashes
+from tallyforge.llm.text import Chunk, chunks, span_hashes, trim
 
 _END = 0x110000
 _LETTER, _NUMBER, _OTHER, _BLANK, _WHITE, _STOP = range(6)
@@ -260,13 +261,18 @@ class Tokenizer:
 _loaded: dict[bytes, Tokenizer] = {}
 
 
-def _tokenizer(shared) -> Tokenizer:
-    """The tokenizer of this worker; later tasks find its cache warm."""
+@contextmanager
+def _tokenizer(shared) -> Iterator[Tokenizer]:
+    """The tokenizer of this worker. Its tables stay for later tasks, the pieces that this task has merged go at its end."""
     ranks_file, classes = shared.value
     key = hashlib.md5(ranks_file).digest()
     if key not in _loaded:
         _loaded[key] = Tokenizer(ranks_file, np.frombuffer(classes, dtype=np.uint8))
-    return _loaded[key]
+    try:
+        yield _loaded[key]
+    finally:
+        _loaded[key].cache.clear()
+        trim()
 
 
 def share_tokenizer(spark: SparkSession, ranks_path: str):
@@ -314,12 +320,12 @@ def encode(
     at = names.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(shared)
-        for batch in batches:
-            found = _encoded(batch.column(at), tokenizer)
-            made = {ids: lambda: found, ends: lambda: _token_ends(found, tokenizer), digest: lambda: _decoded_digests(found, tokenizer)}  # noqa: B023
-            more = {name: make() for name, make in made.items() if name is not None}
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more.values()], [*names, *more])
+        with _tokenizer(shared) as tokenizer:
+            for batch in batches:
+                found = _encoded(batch.column(at), tokenizer)
+                made = {ids: lambda: found, ends: lambda: _token_ends(found, tokenizer), digest: lambda: _decoded_digests(found, tokenizer)}  # noqa: B023
+                more = {name: make() for name, make in made.items() if name is not None}
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more.values()], [*names, *more])
 
     return docs.mapInArrow(run, extended(docs.schema, **{name: kind for name, kind in ((ids, "array<int>"), (ends, "array<int>"), (digest, "string")) if name is not None}))
 
@@ -333,10 +339,10 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "token_ids", out: str
     at = names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(shared)
-        for batch in batches:
-            cells = [None if cell is None else tokenizer.decode(np.array(cell, dtype=np.int64)).tobytes() for cell in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.binary())], [*names, out])
+        with _tokenizer(shared) as tokenizer:
+            for batch in batches:
+                cells = [None if cell is None else tokenizer.decode(np.array(cell, dtype=np.int64)).tobytes() for cell in batch.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.binary())], [*names, out])
 
     return encoded.mapInArrow(run, extended(encoded.schema, **{out: "binary"}))
 
@@ -348,20 +354,20 @@ def digests(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_co
     sha = lambda x: hashlib.sha256(x).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(shared)
-        for batch in batches:
-            counts, sizes, of_ids, of_bytes = [], [], [], []
-            for chunk in chunks(batch.column(1), CHUNK):
-                ids, found = tokenizer.encode(chunk)
-                edges = np.concatenate([[0], np.cumsum(found)])
-                for a, b in zip(edges[:-1], edges[1:]):
-                    decoded = tokenizer.decode(ids[a:b])
-                    counts.append(b - a)
-                    sizes.append(len(decoded))
-                    of_ids.append(sha(" ".join(map(tokenizer.names.__getitem__, ids[a:b].tolist())).encode()))
-                    of_bytes.append(sha(decoded))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_bytes", "ids_sha256", "decoded_sha256"])
+        with _tokenizer(shared) as tokenizer:
+            for batch in batches:
+                counts, sizes, of_ids, of_bytes = [], [], [], []
+                for chunk in chunks(batch.column(1), CHUNK):
+                    ids, found = tokenizer.encode(chunk)
+                    edges = np.concatenate([[0], np.cumsum(found)])
+                    for a, b in zip(edges[:-1], edges[1:]):
+                        decoded = tokenizer.decode(ids[a:b])
+                        counts.append(b - a)
+                        sizes.append(len(decoded))
+                        of_ids.append(sha(" ".join(map(tokenizer.names.__getitem__, ids[a:b].tolist())).encode()))
+                        of_bytes.append(sha(decoded))
+                columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_bytes", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, n_bytes long, ids_sha256 string, decoded_sha256 string")

@@ -6,6 +6,7 @@ multi-byte character, so that the UTF-8 bytes split as the characters do. Hashes
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,18 @@ _ODD = _random.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint6
 _powers: list[np.ndarray] = []
 
 
+# Python workers are used again by later stages. Large arrays go back to the system when freed, if the C library can do so.
+_libc = ctypes.CDLL(None)
+if hasattr(_libc, "mallopt"):
+    _libc.mallopt(-3, 1 << 20)
+
+
+def trim() -> None:
+    """Give freed memory back at the end of a task that held much of it."""
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the word."""
     x = x ^ (x >> np.uint64(33))
@@ -113,12 +126,23 @@ def _spans(inside: np.ndarray, offsets: np.ndarray) -> Words:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """Hash of each byte span; ``lower`` maps A-Z to a-z first."""
-    powers, inverse = _power_table(len(data) + 1)
+    """Hash of each byte span, in ascending order of the spans; ``lower`` maps A-Z to a-z first.
+
+    Works through about CHUNK_BYTES of bytes at a time, so that the tables of powers and sums stay small.
+    """
     table = _BYTE[_LOWER] if lower else _BYTE
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(table[data] * powers[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    out = np.empty(len(starts), dtype=np.uint64)
+    first = 0
+    while first < len(starts):
+        origin = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, origin + CHUNK_BYTES, "right")))
+        a, b = starts[first:last] - origin, ends[first:last] - origin
+        powers, inverse = _power_table(int(b[-1]) + 1)
+        sums = np.zeros(int(b[-1]) + 1, dtype=np.uint64)
+        np.cumsum(table[data[origin : origin + b[-1]]] * powers[: b[-1]], out=sums[1:])
+        out[first:last] = mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        first = last
+    return out
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
