@@ -1,10 +1,11 @@
 """Bigram scores from a log-frequency Bloom filter (Talbot and Osborne, 2007).
 
 The count of each bigram is quantised to a level on a logarithmic scale and entered once per level up to its own; a
-reader probes level after level until one is missing. The filter is made of one slice per hash bucket, filled where the
-bucket's counts meet, and broadcast to the workers. Its size is bounded by FILTER_BITS: up to that it grows with the
-corpus at BITS_PER_ENTRY, beyond it false positives grow instead; a count read is never taken for more than the
-exact counts of its two words. Word counts themselves are exact: each chunk gets those of its words back.
+reader probes level after level until one is missing. The filter is made of one slice per hash bucket. The bigrams of all
+texts meet in their bucket: those of training texts fill its slice, all are probed there, and each chunk gets the levels of
+its bigrams back. So no process holds more than one slice, and every slice has BITS_PER_ENTRY at any size of the corpus. A
+count read is never taken for more than the exact counts of its two words. Word counts themselves are exact: each chunk
+gets those of its words back.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ from tallyforge.llm.packing import CHUNK_TEXT, bucket_bits, pack, packed, rows_o
 from tallyforge.llm.storage import Scratch, prepare
 from tallyforge.llm.text import Chunk, chunks, find_words, mix, span_hashes
 
-#: Base of the count levels, hash functions of an entry, bits of the filter per entry, and its bound (64 MB).
-BASE, PROBES, BITS_PER_ENTRY, FILTER_BITS = 1.5, 4, 6, 1 << 29
+#: Base of the count levels, hash functions of an entry, and bits of the filter per entry.
+BASE, PROBES, BITS_PER_ENTRY = 1.5, 4, 6
 _LEVELS = 64
 _END = np.uint64(0x5851F42D4C957F2D)
 _FLOORS = np.array([BASE**q for q in range(_LEVELS)])
@@ -64,7 +66,7 @@ class _Tokens:
 
 _MESSAGE = "bucket long, chunk long, hashes binary, counts binary, kinds binary"
 _COUNTED = "bucket long, chunk long, counts binary, tokens long, types long, level_tokens array<long>"
-_SLICE = "bucket long, bits binary, level_types array<long>"
+_GRADED = "bucket long, chunk long, grades binary, level_types array<long>"
 
 
 def _word_messages(bits: int):
@@ -111,85 +113,91 @@ def _word_counts(buckets: list[int], answers: list[bytes]) -> np.ndarray:
 
 
 def _bigram_messages(bits: int):
-    """Distinct bigrams of the training texts with their counts and the level of their first word."""
+    """Distinct bigrams of all texts with their counts in training texts and the level of their first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload, buckets, answers in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 part = _Tokens(payload)
                 levels = level(_word_counts(buckets, answers))[part.contexts()]
-                values, first, counts = np.unique(part.bigrams()[part.training], return_index=True, return_counts=True)
-                if len(values):
-                    yield _messages(values, counts, levels[part.training][first], bits, chunk)
+                values, first, which = np.unique(part.bigrams(), return_index=True, return_inverse=True)
+                counts = np.bincount(which[part.training], minlength=len(values))
+                yield _messages(values, counts, levels[first], bits, chunk)
 
     return run
 
 
-def _positions(hashes: np.ndarray, levels: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Bit of each probe, row per entry."""
-    seed = mix(hashes + levels.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
+def _positions(hashes: np.ndarray, q: int, size: int) -> np.ndarray:
+    """Bit of each probe at level ``q``, row per hash."""
+    seed = mix(hashes + np.uint64(q * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF))
     step = mix(seed ^ np.uint64(0x94D049BB133111EB)) | np.uint64(1)
-    return (seed[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % size.astype(np.uint64)[:, None]
-
-
-def _fill_slice(most_bits: int):
-    """Of one bucket: its slice of the filter, and how many distinct bigrams follow words of each level."""
-
-    def run(table: pa.Table) -> pa.Table:
-        hashes = np.concatenate([unpacked(x.as_py()) for x in table.column("hashes")])
-        counts = np.concatenate([unpacked(x.as_py()).astype(np.int64) for x in table.column("counts")])
-        kinds = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("kinds")])
-        values, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        levels = level(np.bincount(which, weights=counts))
-        size = int(min(max(64, levels.sum() * BITS_PER_ENTRY), most_bits)) // 8 * 8
-        flags = np.zeros(size, dtype=bool)
-        for q in range(1, int(levels.max()) + 1):
-            some = values[levels >= q]
-            flags[_positions(some, np.full(len(some), q), np.full(len(some), size)).ravel().astype(np.int64)] = True
-        types = np.bincount(kinds[first], minlength=_LEVELS + 1)
-        return pa.table({"bucket": table.column("bucket").slice(0, 1), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary()), "level_types": pa.array([types.tolist()], pa.list_(pa.int64()))})
+    return ((seed[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.uint64(size)).astype(np.int64)
 
-    return run
+
+def filled(values: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """A slice of the filter: bits that hold each value at all levels from 1 to its own."""
+    flags = np.zeros(max(64, int(levels.sum()) * BITS_PER_ENTRY), dtype=bool)
+    for q in range(1, int(levels.max(initial=0)) + 1):
+        flags[_positions(values[levels >= q], q, len(flags)).ravel()] = True
+    return flags
+
+
+def reached(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Level that each value reaches by repeated probes."""
+    out, left = np.zeros(len(values), dtype=np.int64), np.arange(len(values))
+    for q in range(1, _LEVELS):
+        left = left[flags[_positions(values[left], q, len(flags))].all(axis=1)]
+        if not len(left):
+            break
+        out[left] = q
+    return out
+
+
+def _grade_bigrams(table: pa.Table) -> pa.Table:
+    """Of one bucket: levels read from its slice for the bigrams of each chunk; the first row also says how many distinct training bigrams follow words of each level."""
+    blobs = [unpacked(x.as_py()) for x in table.column("hashes")]
+    counts = np.concatenate([unpacked(x.as_py()).astype(np.int64) for x in table.column("counts")])
+    kinds = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("kinds")])
+    values, first, which = np.unique(np.concatenate(blobs), return_index=True, return_inverse=True)
+    totals = np.bincount(which, weights=counts, minlength=len(values)).astype(np.int64)
+    levels = level(totals)
+    flags = filled(values[totals > 0], levels[totals > 0])
+    grades, done, out = reached(flags, values).astype(np.uint8)[which], 0, []
+    for blob in blobs:
+        out.append(zstandard.ZstdCompressor(level=1).compress(grades[done : done + len(blob)].tobytes()))
+        done += len(blob)
+    types = np.bincount(kinds[first[totals > 0]], minlength=_LEVELS + 1)
+    return table.select(["bucket", "chunk"]).append_column("grades", pa.array(out, pa.binary())).append_column(
+        "level_types", pa.array([types.tolist(), *[None] * (len(out) - 1)], pa.list_(pa.int64()))
+    )
+
+
+def _pair_counts(buckets: list[int], grades: list[bytes]) -> np.ndarray:
+    """Mean counts of the levels of a chunk's distinct bigrams, in the order of their hashes."""
+    order = np.argsort(buckets)
+    return _MEANS[np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(grades[i]) for i in order), np.uint8)]
 
 
 @dataclass
 class Model:
-    """The filter with the place of each bucket's slice, token and type totals, and the weight of words alone by level of the context."""
+    """Token and type totals, and the weight of words alone by level of the context."""
 
-    bits: int
-    filter: np.ndarray
-    offsets: np.ndarray
-    sizes: np.ndarray
     tokens: int
     types: int
     backoff: np.ndarray
 
-    def bigram_counts(self, hashes: np.ndarray) -> np.ndarray:
-        """Mean count of the level that each hash reaches by repeated probes."""
-        reached = np.zeros(len(hashes), dtype=np.int64)
-        bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
-        left = np.flatnonzero(self.sizes[bucket] > 0)
-        for q in range(1, _LEVELS):
-            if not len(left):
-                break
-            at = _positions(hashes[left], np.full(len(left), q), self.sizes[bucket[left]]).astype(np.int64) + self.offsets[bucket[left]][:, None]
-            good = ((self.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
-            left = left[good]
-            reached[left] = q
-        return _MEANS[reached]
-
 
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            for payload, buckets, answers in zip(*(batch.column(i).to_pylist() for i in range(1, 4))):
+            for payload, buckets, answers, places, grades in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
                 part = _Tokens(payload)
                 counts = _word_counts(buckets, answers)
                 own, before = counts[part.which], counts[part.contexts()]
                 alone = (own + 0.5) / (model.tokens + 0.5 * (model.types + 1))
-                values, which = np.unique(part.bigrams(), return_inverse=True)
-                pairs = np.minimum(model.bigram_counts(values)[which], np.minimum(own, before))
+                which = np.unique(part.bigrams(), return_inverse=True)[1]
+                pairs = np.minimum(_pair_counts(places, grades)[which], np.minimum(own, before))
                 weight = model.backoff[level(before)]
                 joint = (1 - weight) * pairs / np.maximum(before, 1) + weight * alone
                 sums = lambda x: np.bincount(part.owner, weights=x, minlength=len(part.sizes))  # noqa: B023, E731
@@ -204,7 +212,7 @@ def _score_batches(shared):
     return run
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of each row; learns from rows that are not held out.
 
     Tokens are the words with A-Z lower-cased and one end per text; NULL counts as empty. ``base_score`` sums
@@ -217,7 +225,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", te
     prepare(spark)
     scratch = Scratch(spark, "ngram-lm")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    whole = scratch.save(pack(rows, CHUNK_TEXT // 2))  # a worker also holds the filter
+    whole = scratch.save(pack(rows, CHUNK_TEXT // 2))
     bits = bucket_bits(whole)
     parts = whole.select("chunk", "payload")
     counted = scratch.save(parts.mapInArrow(_word_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_sum_words, _COUNTED))
@@ -228,20 +236,13 @@ def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", te
     told = scratch.save(parts.join(answers, "chunk").select("chunk", "payload", "buckets", "answers"))
     scratch.drop(whole)
     scratch.drop(counted)
-    made = told.mapInArrow(_bigram_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_fill_slice(filter_bits >> bits), _SLICE)
-    # The slices together have FILTER_BITS at most.
-    found = sorted(made.toLocalIterator(), key=lambda r: r["bucket"])
-    sizes, offsets, types = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64), np.zeros(_LEVELS + 1)
-    place = 0
-    for row in found:
-        sizes[row["bucket"]], offsets[row["bucket"]] = 8 * len(row["bits"]), 8 * place
-        place += len(row["bits"])
-        types += np.array(row["level_types"])
-    tokens = np.array([by_level.get(q, 0) for q in range(_LEVELS + 1)], dtype=np.float64)
+    graded = scratch.save(told.mapInArrow(_bigram_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_grade_bigrams, _GRADED))
+    types = {r["pos"]: r["n"] for r in graded.select(F.posexplode("level_types")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
+    tokens, types = (np.array([x.get(q, 0) for q in range(_LEVELS + 1)], dtype=np.float64) for x in (by_level, types))
     backoff = np.where(tokens > 0, types / np.maximum(tokens + types, 1), 1.0)
     backoff[0] = 1.0
-    filter_ = np.frombuffer(b"".join(row["bits"] for row in found), dtype=np.uint8)
-    model = Model(bits, filter_, offsets, sizes, totals["tokens"] or 0, totals["types"] or 0, np.clip(backoff, 1e-6, 1.0))
-    del found
+    model = Model(totals["tokens"] or 0, totals["types"] or 0, np.clip(backoff, 1e-6, 1.0))
     shared = spark.sparkContext.broadcast(model)
-    return told.mapInArrow(_score_batches(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    grades = graded.groupBy("chunk").agg(F.collect_list("bucket").alias("places"), F.collect_list("grades").alias("grades"))
+    both = told.join(grades, "chunk").select("chunk", "payload", "buckets", "answers", "places", "grades")
+    return both.mapInArrow(_score_batches(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

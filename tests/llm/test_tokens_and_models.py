@@ -141,6 +141,34 @@ def test_scores(spark, monkeypatch, entries):
     assert {x["train_tokens"] for x in score_texts(documents(spark, texts[:4]), F.lit(True)).collect()} == {0}
 
 
+def test_filter_keeps_its_bits_per_entry():
+    """A slice of 800,000 entries, twice what 64 MB left each of 256 slices: unseen values still read as 0 as often as 6 bits allow."""
+    from tallyforge.llm import ngram_lm
+
+    r = np.random.Generator(np.random.PCG64(6))
+    seen, unseen = np.unique(r.integers(0, 1 << 63, 400_000, dtype=np.uint64)), r.integers(1 << 63, 1 << 64, 20_000, dtype=np.uint64)
+    levels = 1 + np.arange(len(seen)) % 3
+    flags = ngram_lm.filled(seen, levels)
+    assert len(flags) >= ngram_lm.BITS_PER_ENTRY * levels.sum()
+    assert (ngram_lm.reached(flags, seen) >= levels).all() and (ngram_lm.reached(flags, unseen) > 0).mean() < 0.08
+
+
+def test_scores_of_unseen_pairs(spark, monkeypatch):
+    """Pairs that no training text has score as such, in every one of many slices."""
+    monkeypatch.setattr("tallyforge.llm.packing.BUCKET_ENTRIES", 300)
+    r = random.Random(5)
+    texts = [" ".join(f"w{(j := r.randrange(400))} v{j}" for _ in range(60)) for _ in range(200)]
+    texts += [" ".join(f"w{r.randrange(400)}" for _ in range(200)) for _ in range(5)]
+    found = {x["doc_id"]: x for x in score_texts(documents(spark, texts), F.col("doc_id") >= 195).collect()}
+    counts = collections.Counter(w for t in texts[:195] for w in [*words(t), None])
+    n, v = sum(counts.values()), len(counts)
+    alone = {w: (c + 0.5) / (n + 0.5 * (v + 1)) for w, c in counts.items()}
+    for i in range(200, 205):
+        assert found[i]["score"] < sum(math.log10(alone[w]) for w in [*words(texts[i]), None])
+    for i in range(195, 200):
+        assert found[i]["score"] > found[i]["base_score"] + 50
+
+
 def test_mixing(spark):
     r = random.Random(3)
     texts = [" ".join(["w"] * r.randint(0, 50)) or None for _ in range(200)]
