@@ -1,8 +1,11 @@
 """Language identification: nearest of several centroids per language, by cosine of hashed TF-IDF n-gram vectors.
 
 Vectors count byte n-grams (2 and 3 bytes) of the text with A-Z lower-cased and every run of ASCII bytes that are no
-letters made one blank. The centroids come from spherical k-means within each language. A text whose cosine distance
-to the nearest centroid exceeds MAX_DISTANCE is rejected: it is nearly orthogonal to every language learned.
+letters made one blank. The centroids come from spherical k-means within each language. A text whose cosine to the nearest
+centroid falls short of what texts of its length need is rejected. That bound is fitted: the labelled sample's texts and their
+prefixes give, by length, the cosines of a text to its nearest centroid and to the nearest of another language, and the bound
+lies halfway between the low ones of the first and the high ones of the second, or at MOST times the former. A language
+that was not learned is about as far as another language.
 """
 
 from __future__ import annotations
@@ -21,8 +24,11 @@ from tallyforge.llm.text import _LOWER, Chunk, chunks
 
 #: Hashed dimensions, centroids per language, and the bound on the labelled rows per language that they are fitted on.
 DIMENSIONS, CENTROIDS, SAMPLE = 4096, 4, 1200
-#: Cosine distance to the nearest centroid beyond which a text is rejected. Even one-word texts of a learned language stay below it.
+#: Cosine distance to the nearest centroid beyond which a text of any length is rejected. Even one-word texts of a learned language stay below it.
 MAX_DISTANCE = 0.95
+#: Bands of length (powers of two of n-grams), quantiles of the nearest cosines and of those to other languages, part of the
+#: first that the bound may be at most, and texts that a band needs.
+BANDS, NEAR_SHARE, OTHER_SHARE, MOST, BAND_TEXTS = 40, 0.01, 0.95, 0.8, 30
 UNKNOWN = "und"
 _TEXTS_AT_ONCE = 128
 
@@ -73,12 +79,63 @@ def _portions(column: pa.Array) -> Iterator[Chunk]:
 
 @dataclass
 class Model:
-    """``centroids[i]`` belongs to ``languages[i]``."""
+    """``centroids[i]`` belongs to ``languages[i]``; a text of band ``b`` needs a cosine of ``floors[b]``."""
 
     languages: list[str]
     centroids: np.ndarray
     idf: np.ndarray
-    max_distance: float = MAX_DISTANCE
+    floors: np.ndarray
+
+
+def bands(counts: np.ndarray) -> np.ndarray:
+    """Band of length of each row of n-gram counts."""
+    return np.minimum(np.log2(1 + counts.sum(axis=1)).astype(np.int64), BANDS - 1)
+
+
+def _prefixes(chunk: Chunk) -> Iterator[tuple[np.ndarray, Chunk]]:
+    """Which texts, and these cut to 4, 8, 16, ... bytes where they are longer; in the end all in full."""
+    sizes, size = np.diff(chunk.offsets), 4
+    while (some := np.flatnonzero(sizes > size)).size:
+        at = (chunk.offsets[some, None] + np.arange(size)).ravel()
+        yield some, Chunk(0, len(some), chunk.data[at], np.arange(len(some) + 1) * size)
+        size *= 2
+    yield np.arange(len(chunk)), chunk
+
+
+def _sample_cosines(model: Model):
+    """Of the sample's texts and their prefixes: band, and cosine to the nearest centroid of all and of another language than theirs (NULL if there is none)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages = np.array(model.languages, dtype=object)
+        for batch in batches:
+            labels = np.array(batch.column(0).to_pylist(), dtype=object)
+            for chunk in _portions(batch.column(2)):
+                for some, part in _prefixes(chunk):
+                    counts = gram_counts(part)
+                    cosines = weighed(counts, model.idf) @ model.centroids.T
+                    lang = labels[chunk.first + some]
+                    near, other = cosines.max(axis=1), np.where(lang[:, None] != languages, cosines, -1.0).max(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lang, pa.string()), pa.array(bands(counts)), pa.array(near, pa.float64()), pa.array(other, pa.float64(), mask=other < 0)], ["lang", "band", "near", "other"]
+                    )
+
+    return run
+
+
+def floors(found: list) -> np.ndarray:
+    """Least cosine by band from rows ``band, near, other, n`` per language: the low nearest cosine and the high one to other languages.
+
+    A band of too few texts takes the bound of the next shorter one. Where languages overlap or labels are wrong, MOST keeps the
+    bound below the cosines of the sample, so that learned texts stay.
+    """
+    out, last = np.full(BANDS, 1 - MAX_DISTANCE), 1 - MAX_DISTANCE
+    for band in range(BANDS):
+        rows = [r for r in found if r["band"] == band and r["n"] >= BAND_TEXTS]
+        if rows:
+            near, other = min(r["near"] for r in rows), max(r["other"] or 0.0 for r in rows)
+            last = max(1 - MAX_DISTANCE, min((near + other) / 2, MOST * near))
+        out[band] = last
+    return out
 
 
 def has_letter(text: Column) -> Column:
@@ -139,7 +196,12 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     found = vectors.groupBy("lang").applyInPandas(_clusters(idf, centroids), "lang string, k int, centroid array<float>").toPandas()
     found = found.sort_values(["lang", "k"])
     matrix = np.array([np.asarray(c, dtype=np.float32) for c in found["centroid"]], dtype=np.float32).reshape(-1, DIMENSIONS)
-    return Model(found["lang"].tolist(), matrix, idf)
+    model = Model(found["lang"].tolist(), matrix, idf, floors([]))
+    cosines = chosen.mapInArrow(_sample_cosines(model), "lang string, band long, near double, other double")
+    quantile = lambda c, share: F.percentile(c, F.lit(share)).alias(c)
+    rows = cosines.groupBy("lang", "band").agg(quantile("near", NEAR_SHARE), quantile("other", OTHER_SHARE), F.count(F.lit(1)).alias("n"))
+    model.floors = floors(rows.collect())  # a row per language and band
+    return model
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
@@ -162,12 +224,13 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
             scores, rejected = np.zeros(batch.num_rows), np.ones(batch.num_rows, dtype=bool)
             if len(languages):
                 for chunk in _portions(batch.column(at)):
-                    cosines = weighed(gram_counts(chunk), model.idf) @ model.centroids.T
+                    counts = gram_counts(chunk)
+                    cosines = weighed(counts, model.idf) @ model.centroids.T
                     nearest = np.argmax(cosines, axis=1)
                     best = cosines[np.arange(len(chunk)), nearest]
                     labels[chunk.first : chunk.last] = languages[nearest]
                     scores[chunk.first : chunk.last] = np.clip(best, 0, 1)
-                    rejected[chunk.first : chunk.last] = 1 - best > model.max_distance
+                    rejected[chunk.first : chunk.last] = best < model.floors[bands(counts)]
             dumb = ~batch.column(len(names) - 1).to_numpy(zero_copy_only=False).astype(bool)
             labels[dumb], scores[dumb], rejected[dumb] = UNKNOWN, 0.0, True
             more = [pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]

@@ -116,6 +116,23 @@ def test_language(spark):
     assert {x["lang_pred"] for x in lang_id.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_long_texts_of_no_learned_language_are_rejected(spark):
+    """Long texts in a script or a language that the model was not fitted on go; short and long ones of a learned language stay."""
+    r = random.Random(7)
+    syllables = lambda letters: ["".join(r.choice(letters) for _ in range(3)) for _ in range(40)]
+    sounds = {lang: syllables(letters) for lang, letters in (("aa", "abdeilmor"), ("bb", "cghknostuz"), ("cc", "aefijpqvwy"))}
+    say = lambda parts, n: " ".join("".join(r.choice(parts) for _ in range(2)) for _ in range(n))
+    rows = [(i, say(sounds[lang], r.choice([3, 10, 80, 400])), lang, None, None) for i, lang in enumerate(r.choices(["aa", "bb", "cc"], k=400))]
+    strange = {"script": [chr(c) for c in range(0x430, 0x450)], "greek": [chr(c) for c in range(0x3B1, 0x3CA)], "letters": list("abcdefghijklmnopqrstuvwxyz")}
+    far = [(1000 + i, say(syllables(letters), n), None, None, None) for i, (letters, n) in enumerate((x, n) for x in strange.values() for n in (50, 300, 2000))]
+    docs = table(spark, rows)
+    found = lang_id.identify(table(spark, rows + far), lang_id.fit(docs, sample=200)).collect()
+    assert not [x["doc_id"] for x in found if x["doc_id"] < 1000 and x["rejected"]]
+    assert all(x["rejected"] for x in found if x["doc_id"] >= 1000)
+    left_out = lang_id.fit(docs.where("lang != 'cc'"), sample=200)
+    assert all(x["rejected"] for x in lang_id.identify(docs.where("lang = 'cc' and length(text) > 1000"), left_out).collect())
+
+
 @pytest.mark.parametrize("entries", [1 << 21, 300])
 def test_scores(spark, monkeypatch, entries):
     monkeypatch.setattr("tallyforge.llm.packing.BUCKET_ENTRIES", entries)
