@@ -7,9 +7,10 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallyforge.llm import line_crf
+from tallyforge.llm import line_crf, near_dedup
 from tallyforge.llm.components import components
 from tallyforge.llm.near_dedup import near_duplicates, sketch
 from tallyforge.llm.storage import Scratch
@@ -68,6 +69,20 @@ def test_near_copies_of_a_centre_are_linked_through_it(spark):
     assert {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(spark, texts)).collect()} == low
 
 
+def test_blocks_find_pairs_by_full_band_keys():
+    """An earlier band that agrees in 16 bits only has no bucket, and 92 equal coordinates of 160 are within what similarity 0.75 gives."""
+    short = np.arange(160, dtype=np.uint16)
+    other = np.where(np.arange(160) < 92, short, short + 1000).astype(np.uint16)
+    items = np.arange(50, dtype=np.uint32).tobytes()
+    keys = [np.array([k, 7, *range(100 * k, 100 * k + 38)], dtype=np.int64).tobytes() for k in (1, 2)]
+    for second in (short, other):
+        block = pa.table({
+            "rep": [1, 2], "component": [1, 2], "side": [2, 2], "band": [1, 1],
+            "sketch": [short.tobytes(), second.tobytes()], "keys": keys, "items": [items, items],
+        })
+        assert near_dedup._block_pairs(block).to_pylist() == [{"a": 1, "b": 2}]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(None, "a b c d e f", None, None, None), (5, "a b c d e f", None, None, None), (5, "a b c d e f", None, None, None), (3, "A b c d e f", None, None, None)]
     found = sorted(map(tuple, near_duplicates(table(spark, rows)).collect()), key=str)
