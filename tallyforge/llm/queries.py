@@ -9,6 +9,7 @@ from tallyforge.llm.embedding_dedup import near_vectors
 from tallyforge.llm.mixing import mix
 from tallyforge.llm.near_dedup import near_duplicates
 from tallyforge.llm.ngram_lm import score_texts
+from tallyforge.llm.periodic_runs import find_runs
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
 from tallyforge.llm.storage import Scratch
 from tallyforge.llm.substring_dedup import remove_repeats
@@ -95,3 +96,24 @@ def op5_token_files(spark, sf_dir):
 @query()
 def op6_ngram_scores(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+
+
+@query(sql.PERIODIC_RUNS)
+def op12_periodic_runs(spark, sf_dir):
+    h = F.crc32(F.col("doc_id").cast("string"))
+    # In every tenth document the words from number a on repeat with period p; the array of words is bound to a name by transform.
+    repeated = F.expr(
+        "transform(array(regexp_extract_all(text, '([^ \\\\x09-\\\\x0D]+)', 1)), ws -> transform(array(cast(g % nullif(size(ws), 0) as int)), a -> "
+        "transform(array(1 + (size(ws) - a) div (3 + g % 8)), p -> concat(slice(ws, 1, a), "
+        "slice(flatten(array_repeat(slice(ws, a + 1, cast(p as int)), cast((size(ws) - a) div p + 1 as int))), 1, size(ws) - a)))[0])[0])[0]"
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h"), F.expr("crc32(cast(doc_id as string)) div 10").alias("g"))
+    text = F.when(F.col("h") % 10 == 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    found = find_runs(docs.select("doc_id", text.alias("text")))
+    best = F.expr("aggregate(runs, get(runs, 0), (b, r) -> if(r.length * b.period > b.length * r.period, r, b))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )

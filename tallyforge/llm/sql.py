@@ -82,3 +82,29 @@ WARC = """with p as (select page_id, coalesce(html, '') as html, strlen(coalesce
     select page_id, n as payload_bytes, digest as payload_digest,
         case when n >= 1000 and page_id < first then 'revisit' else 'response' end as record_type,
         case when n >= 1000 and page_id < first then first end as refers_to from q"""
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an ASCII text: a byte enters, then eight shifts (marked -1)."""
+    return f"""xor(list_reduce(flatten([[4294967295::bigint], flatten(list_transform(string_split({text}, ''), lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))]),
+        lambda c, x: case when x >= 0 then xor(c, x) when c % 2 = 1 then xor(c // 2, 3988292384::bigint) else c // 2 end), 4294967295::bigint)"""
+
+
+#: Positions whose word comes again q places on, for every q; their stretches are the runs, and equal stretches keep the least q.
+PERIODIC_RUNS = f"""with split as (select doc_id, {WORDS.format(text="coalesce(text, '')")} as ws, {crc32("doc_id::varchar")} as h from documents),
+    tails as (select *, h // 10 as g, len(ws) as n, h // 10 % nullif(len(ws), 0) as a from split),
+    periods as (select *, 1 + (n - a) // (3 + g % 8) as p from tails),
+    damaged as (select doc_id, case when h % 10 = 0 and n > 0 then list_transform(range(0, n), lambda i: case when i < a then ws[i + 1] else ws[a + (i - a) % p + 1] end) else ws end as ws
+        from periods),
+    words as (select doc_id, len(ws) as n, unnest(ws) as w, generate_subscripts(ws, 1) - 1 as i from damaged),
+    same as (select x.doc_id, x.i, y.i - x.i as q from words x join words y on x.doc_id = y.doc_id and x.w = y.w and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+    islands as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as k from same),
+    stretches as (select doc_id, q, min(i) as start, count(*) + q as length from islands group by doc_id, q, k having count(*) + q >= greatest(6, 4 * q)),
+    runs as (select doc_id, start, length, min(q) as period from stretches group by 1, 2, 3),
+    ranked as (select *, row_number() over (partition by doc_id order by length::hugeint * 1000000000000 // period desc, start, period) as rank from runs),
+    told as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from runs group by 1),
+    gone as (select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+    dropped as (select doc_id, list(i) as gs from gone group by 1)
+    select d.doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
+        sha256(array_to_string(case when gs is null then d.ws else list_transform(list_filter(range(0, len(d.ws)), lambda k: not list_contains(gs, k)), lambda k: d.ws[k + 1]) end, ' ')) as collapsed_sha256
+    from damaged d left join told using (doc_id) left join (select * from ranked where rank = 1) using (doc_id) left join dropped using (doc_id)"""
