@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyforge.llm import bpe, lang_id, line_crf, sql, token_files, warc
+from tallyforge.llm.best_fit import pack_documents
 from tallyforge.llm.embedding_dedup import near_vectors
 from tallyforge.llm.mixing import mix
 from tallyforge.llm.near_dedup import near_duplicates
@@ -23,7 +24,7 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-WORDS, RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
+WORDS, RANKS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -117,3 +118,9 @@ def op12_periodic_runs(spark, sf_dir):
         F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op11_best_fit_packing(spark, sf_dir):
+    packed = pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTES))
+    return packed.drop("token_ids")
