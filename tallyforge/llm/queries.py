@@ -14,6 +14,7 @@ from tallyforge.llm.periodic_runs import find_runs
 from tallyforge.llm.registry import ORACLES, QUERIES, query, table
 from tallyforge.llm.storage import Scratch
 from tallyforge.llm.substring_dedup import remove_repeats
+from tallyforge.llm.turn_repair import digest_turns, joined, repair_turns
 
 
 
@@ -124,3 +125,20 @@ def op12_periodic_runs(spark, sf_dir):
 def op11_best_fit_packing(spark, sf_dir):
     packed = pack_documents(table(spark, sf_dir, "documents"), vocabulary(BYTES))
     return packed.drop("token_ids")
+
+
+@query(sql.TURN_REPAIR)
+def op13_turn_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    own = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(own("conv_id"), F.lit(":"), own("turn"))) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(own("text"), "[.!?]", "")).otherwise(own("text"))
+    role = F.when(fault == 4, "user").otherwise(own("role"))
+    damaged = rows.where(fault != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    repair = repair_turns(damaged)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = joined(joined(rows.select("conv_id").distinct(), repair.summary, ["conv_id"], "left"), digest_turns(repair.turns), ["conv_id"], "left")
+    return found.select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )

@@ -108,3 +108,45 @@ PERIODIC_RUNS = f"""with split as (select doc_id, {WORDS.format(text="coalesce(t
     select d.doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
         sha256(array_to_string(case when gs is null then d.ws else list_transform(list_filter(range(0, len(d.ws)), lambda k: not list_contains(gs, k)), lambda k: d.ws[k + 1]) end, ' ')) as collapsed_sha256
     from damaged d left join told using (doc_id) left join (select * from ranked where rank = 1) using (doc_id) left join dropped using (doc_id)"""
+
+
+def _turn_state(s: int) -> str:
+    """Cheapest edits of a turn and all after it from one state: cost, letters, lines. Fields c, a, l compare in that order."""
+    after = (2, 2, 3, 2)[s]
+    wanted, role = ("u", "user") if after == 2 else ("a", "assistant")
+    line = lambda role: f"{role} || ':' || t.text || case when {{to}}.l = '' then '' else chr(10) || {{to}}.l end"
+    keep = lambda to, when: f"case when not gone and {when} then {{{{'c': {to}.c + charge, 'a': 'K' || {to}.a, 'l': {line('t.role').format(to=to)}}}}} end"
+    ways = [f"{{'c': p.s{s}.c + 2, 'a': 'D' || p.s{s}.a, 'l': p.s{s}.l}}", keep(f"p.s{after}", f"initial = '{wanted}'").replace("{{", "{").replace("}}", "}")]
+    ways.append(f"case when not gone and initial <> '{wanted}' then {{'c': p.s{after}.c + 1 + charge, 'a': 'R' || p.s{after}.a, 'l': {line(chr(39) + role + chr(39)).format(to=f'p.s{after}')}}} end")
+    if s == 0:
+        ways.append(keep("p.s1", "initial = 's'").replace("{{", "{").replace("}}", "}"))
+    return f"list_min(list_filter([{', '.join(ways)}], lambda x: x is not null)) as b{s}"
+
+
+def _put_in(s: int, of: str = "b") -> str:
+    after = (2, 2, 3, 2)[s]
+    role = "user" if after == 2 else "assistant"
+    return f"""list_min([{of}{s}, {{'c': {of}{after}.c + 5, 'a': 'I' || {of}{after}.a, 'l': '{role}:' || case when {of}{after}.l = '' then '' else chr(10) || {of}{after}.l end}}])"""
+
+
+#: From the last turn back to the first, the cheapest edits from each of four states; ties go to the least letters.
+TURN_REPAIR = f"""with recursive
+    told as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as f from conversations),
+    damaged as (select conv_id, turn, case when f = 4 then 'user' else role end as role,
+        case f when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(0, case when f = 3 then 2 else 1 end)) as copy from told where f <> 0),
+    placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as n from damaged),
+    marked as (select *, substr(role, 1, 1) as initial, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, row_number() over (partition by conv_id, role, text order by n) > 1 as again,
+        not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') as open_, substr(lag(role) over (partition by conv_id order by n), 1, 1) as before from placed),
+    turns as (select *, blank or again as gone, case when open_ then 5 else 0 end as charge, count(*) over (partition by conv_id) as size from marked),
+    steps as (
+        select conv_id, size + 1 as n, {{'c': 0, 'a': '', 'l': ''}} as s0, {{'c': 10, 'a': 'II', 'l': 'user:' || chr(10) || 'assistant:'}} as s1, {{'c': 5, 'a': 'I', 'l': 'assistant:'}} as s2,
+            {{'c': 0, 'a': '', 'l': ''}} as s3 from (select distinct conv_id, size from turns)
+        union all
+        select conv_id, n, {', '.join(_put_in(s, "d") for s in range(4))} from (
+            select conv_id, n, {', '.join(f"{_put_in(s)} as d{s}" for s in range(4))} from (
+                select t.conv_id, t.n, {', '.join(_turn_state(s) for s in range(4))} from steps p join turns t on t.conv_id is not distinct from p.conv_id and t.n = p.n - 1))),
+    counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank, count(*) filter (not blank and again) as duplicate,
+        count(*) filter (not gone and open_) as truncated, count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal from turns group by 1)
+    select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+        coalesce(s0.c, 0)::bigint as cost, coalesce(s0.a, '') as audit, sha256(coalesce(s0.l, '')) as repaired_sha256
+    from (select distinct conv_id from conversations) o left join counts c on c.conv_id is not distinct from o.conv_id left join (select * from steps where n = 1) s on s.conv_id is not distinct from o.conv_id"""
