@@ -184,9 +184,10 @@ def _merge(capacity: int, level: int):
     """Best fit over the items of one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not len(table):
+        parts = list(batches)
+        if not parts:
             return
+        table = pa.Table.from_batches(parts)
         into, offset, fill = best_fit(table.column("fill").to_numpy(), capacity)
         number = (level << _ROUND | TaskContext.get().partitionId() << _TASK) + into
         columns = [table.column("item").combine_chunks(), pa.array(number), pa.array(offset), pa.array(fill[into])]

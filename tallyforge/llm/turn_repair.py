@@ -142,7 +142,7 @@ def _legal(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return ((before == 0) & (after == 1)) | ((before == 1) & (after == 2)) | ((before == 2) & (after == 1))
 
 
-def _chunked(name: str):
+def _chunked(name: str, limit: int):
     """Sorted turns as chunks, each of one conversation, with what can be counted and the vector of the guess."""
 
     def table(rows: pa.Table, number: int) -> pa.RecordBatch:
@@ -184,13 +184,13 @@ def _chunked(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size, number = [], 0, 0
         for batch in batches:
-            if size and size + len(batch) > CHUNK_TURNS:
-                out = table(pa.Table.from_batches(waiting), number)
-                yield out
-                waiting, size, number = [], 0, number + len(out)
-            if len(batch):
-                waiting.append(batch)
-                size += len(batch)
+            for piece in pa.Table.from_batches([batch]).to_batches(max_chunksize=limit):
+                if size + len(piece) > limit:
+                    out = table(pa.Table.from_batches(waiting), number)
+                    yield out
+                    waiting, size, number = [], 0, number + len(out)
+                waiting.append(piece)
+                size += len(piece)
         if size:
             yield table(pa.Table.from_batches(waiting), number)
 
@@ -294,7 +294,7 @@ def joined(left: DataFrame, right: DataFrame, columns: list[str], how: str = "in
     return left.join(own, same, how).drop(*(f"_key_{c}" for c in columns))
 
 
-def repair_turns(rows: DataFrame, id_column: str = "conv_id") -> Repair:
+def repair_turns(rows: DataFrame, id_column: str = "conv_id", chunk_turns: int = CHUNK_TURNS) -> Repair:
     """Audit and repair conversations given as rows of ``id_column``, ``turn``, ``role``, ``text``; other columns are not read.
 
     The turns of a conversation are taken by ``turn`` (NULLs first; rows of one turn by role, then by a hash of the text). NULL in role
@@ -325,7 +325,7 @@ def repair_turns(rows: DataFrame, id_column: str = "conv_id") -> Repair:
     marked = joined(single, firsts, content).select(*key, "blank", "closed", "copies", late.alias("late")).withColumn("code", (kind * 4 + F.when(initial == "s", 0).when(initial == "u", 1).when(initial == "a", 2).otherwise(3)).cast("int"))
     ordered = marked.repartitionByRange(*key).sortWithinPartitions(*key)
     chunk_schema = StructType([rows.schema[id_column], *DataType.fromDDL(_CHUNK).fields])
-    chunks = scratch.save(ordered.mapInArrow(_chunked(id_column), chunk_schema))
+    chunks = scratch.save(ordered.mapInArrow(_chunked(id_column, chunk_turns), chunk_schema))
 
     vectors = _converged(chunks, id_column, scratch)
     states = (
