@@ -63,8 +63,7 @@ def row_cap_sizes(spark, sf_dir):
 @query(f"""with {RANKED}, {CAP} select {KEYS}, round(l_quantity - l_tax, 7) as color_q_t from r join keep using (l_returnflag) where rn <= k""")
 def paired_sample(spark, sf_dir):
     lines = band_lines(spark, sf_dir)
-    chosen = ops.stratified_cap(lines, "flag", MAX_ROWS, key=KEY)
-    pair = ops.paired_rows(chosen, engineer(lines, LINES), KEY)
+    _, pair = ops.paired_cap(lines, engineer(lines, LINES), "flag", MAX_ROWS, key=KEY)
     return pair.select(*KEY, F.round("color_q_t", 7).alias("color_q_t"))
 
 
@@ -74,7 +73,7 @@ def seeded_sample(spark, sf_dir):
     return ops.seeded_sample(lines, 12_000, key=KEY)
 
 
-@query(f"select {KEYS}, l_quantity from lineitem order by {HASH}")
+@query(f"select {KEYS}, l_quantity, row_number() over (order by {HASH}, md5(l_orderkey || '')) as position from lineitem")
 def seeded_shuffle(spark, sf_dir):
     return ops.seeded_shuffle(table(spark, sf_dir, "lineitem").select(*KEY, "l_quantity"), key=KEY)
 

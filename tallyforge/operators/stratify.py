@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.ordering import order_hash
-from tallyforge.operators.ranks import assign_segments
+from tallyforge.functions.ordering import order_hash, row_text
+from tallyforge.operators.ranks import CutPlan, assign_segments, plan_cuts
+from tallyforge.session import settle, spread
 from tallyforge.spec import SEED, TEST_SHARE
 
 
@@ -65,18 +66,45 @@ def cap_sizes(sizes: DataFrame, target: str, max_rows: int) -> DataFrame:
     )
 
 
+def cap_plan(df: DataFrame, target: str, max_rows: int, seed: int = SEED, key: Sequence[str] | None = None) -> CutPlan:
+    """Which rows a cap keeps (segment 0), as boundaries that other tables with the same key and class can be tested against."""
+
+    def kept(sizes: DataFrame) -> DataFrame:
+        return cap_sizes(sizes, target, max_rows).select(target, F.lit(0).alias("cut"), F.col("keep").alias("rank"))
+
+    return plan_cuts(df, [target], kept, 1, key=key, seed=seed)
+
+
+def capped(plan: CutPlan, df: DataFrame) -> DataFrame:
+    """Rows of a table that a plan of ``cap_plan`` keeps; no row is moved."""
+    return plan.mark(df, "_beyond").filter("_beyond = 0").drop("_beyond")
+
+
 def stratified_cap(
     df: DataFrame, target: str, max_rows: int, seed: int = SEED, key: Sequence[str] | None = None
 ) -> DataFrame:
     """At most about ``max_rows`` rows with the class shares kept; no limit when ``max_rows`` <= 0."""
     if max_rows <= 0:
         return df
+    df = spread(df)
+    return capped(cap_plan(df, target, max_rows, seed, key), df)
 
-    def kept(sizes: DataFrame) -> DataFrame:
-        return cap_sizes(sizes, target, max_rows).select(target, F.lit(0).alias("cut"), F.col("keep").alias("rank"))
 
-    marked = assign_segments(df, [target], kept, 1, key=key, seed=seed, into="_beyond")
-    return marked.filter("_beyond = 0").drop("_beyond")
+def paired_cap(
+    df: DataFrame, other: DataFrame, target: str, max_rows: int, seed: int = SEED, key: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The same rows of two tables that share key and class, capped as ``stratified_cap`` caps the first.
+
+    Both are tested against one plan, so neither is shuffled. Only where rows with equal keys lie at a cut, the second
+    table is joined to the chosen keys instead.
+    """
+    if max_rows <= 0:
+        return df, other
+    plan = cap_plan(df, target, max_rows, seed, key)
+    chosen = capped(plan, df)
+    if plan.by_row or not key:
+        return chosen, paired_rows(chosen, other, list(key or df.columns))
+    return chosen, plan.mark_other(other, "_beyond").filter("_beyond = 0").drop("_beyond")
 
 
 def paired_rows(chosen: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -114,9 +142,21 @@ def seeded_sample(df: DataFrame, n: int, seed: int = SEED, key: Sequence[str] |
     return marked.filter("_beyond = 0").drop("_beyond")
 
 
-def seeded_shuffle(df: DataFrame, seed: int = SEED, key: Sequence[str] | None = None) -> DataFrame:
-    """Whole table in the order of the seeded hash."""
-    return df.withColumn("_order", order_hash(df, key, seed)).orderBy("_order").drop("_order")
+def seeded_shuffle(df: DataFrame, seed: int = SEED, key: Sequence[str] | None = None, position: str = "position") -> DataFrame:
+    """Whole table in the order of the seeded hash, with the place of each row in it, from 1.
+
+    Rows are dealt by ranges of the hash and sorted within them, once, into the shared folder; a row's place is its number within its
+    range and the sizes of the ranges before. Rows with equal keys follow in the order of a hash over all columns.
+    """
+    place = F.monotonically_increasing_id()
+    ordered = df.withColumn("_order", order_hash(df, key, seed)).orderBy("_order", F.md5(row_text(df))).drop("_order")
+    rows = settle(ordered.withColumn("_place", place).withColumn("_range", F.shiftright("_place", 33)))
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    # One row per range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = settle(sizes.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")))
+    number = F.col("_start") + F.col("_place") - F.shiftleft("_range", 33) + 1
+    return rows.join(starts, "_range").select(*df.columns, number.alias(position))
 
 
 def split_faults(whole: DataFrame, train: DataFrame, test: DataFrame, key: Sequence[str]) -> DataFrame:

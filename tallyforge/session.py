@@ -1,4 +1,4 @@
-"""Session set-up and the two ways of keeping an intermediate result."""
+"""Session set-up, keeping an intermediate result, and spreading a narrow scan."""
 
 from __future__ import annotations
 
@@ -37,10 +37,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table for costly expressions: its rows are dealt out when the scan has fewer splits than there are cores.
+
+    One large row group would otherwise be worked on by one core. A table with enough splits is left as it is, so
+    nothing is moved at scale. Plans that exchange rows already are left alone too.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in plan or "Streaming" in plan or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import collections
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,7 +138,13 @@ def test_samples(spark):
     assert sample.count() == sample.distinct().count() == 123
     assert s.seeded_sample(df, 1000, key=["k"]).count() == 500
     assert s.seeded_sample(df, 0, key=["k"]).count() == 0
-    assert sorted(map(tuple, s.seeded_shuffle(df, key=["k"]).collect())) == sorted(map(tuple, df.collect()))
+    shuffled = s.seeded_shuffle(df, key=["k"])
+    assert sorted(map(tuple, shuffled.drop("position").collect())) == sorted(map(tuple, df.collect()))
+    order = [r["k"] for r in shuffled.orderBy("position").collect()]
+    assert order == sorted(order, key=lambda k: hashlib.md5(f'42|{{"k":"{k}"}}'.encode()).hexdigest())
+    assert [r["position"] for r in shuffled.orderBy("position").collect()] == list(range(1, 501))
+    twice = s.seeded_shuffle(df.unionByName(df), key=["k"])
+    assert [r["position"] for r in twice.orderBy("position").collect()] == list(range(1, 1001))
     other = df.withColumn("more", F.length("k"))
     assert s.paired_rows(sample, other, ["k"]).count() == 123
 
@@ -157,3 +164,15 @@ def test_many_groups_are_joined_by_shuffle(spark):
 def test_no_window_over_rows_and_no_python(spark):
     plan = plan_of(s.mark_split(classes(spark, {0: 50, 1: 9}), "c", key=["k"]))
     assert "Window" not in plan and "Python" not in plan and "SortMergeJoin" not in plan
+
+
+def test_one_plan_caps_two_tables(spark):
+    df = classes(spark, {0: 300, 1: 200})
+    target = [c for c in df.columns if c != "k"][0]
+    other = df.withColumn("more", F.upper("k"))
+    chosen, pair = s.paired_cap(df, other, target, 100, key=["k"])
+    assert {r["k"] for r in chosen.collect()} == {r["k"] for r in pair.collect()} == {r["k"] for r in s.stratified_cap(df, target, 100, key=["k"]).collect()}
+    assert "Exchange hashpartitioning" not in plan_of(pair) and "BroadcastHashJoin" in plan_of(pair)
+    same = df.withColumn("k", F.lit("one"))
+    chosen, pair = s.paired_cap(same, same.withColumn("more", F.lit(1)), target, 100, key=["k"])
+    assert chosen.count() == 100 and pair.count() == 500  # rows that share their key cannot be told apart by it
