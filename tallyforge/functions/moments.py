@@ -25,13 +25,6 @@ def adjusted_skewness(column: Column) -> Column:
     return F.when(n >= 3, F.when(flat, 0.0).otherwise(nan_to_null(F.skewness(column) * bias)))
 
 
-def safe_correlation(left: Column, right: Column) -> Column:
-    """Pearson correlation over rows where both are present; NULL when one side is constant."""
-    x = F.when(right.isNotNull(), left)
-    y = F.when(left.isNotNull(), right)
-    return nan_to_null(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
-
-
 def row_statistics(columns: Sequence[Column]) -> dict[str, Column]:
     """Mean, sample deviation, minimum, maximum and range across columns, NULLs skipped."""
     present = reduce(lambda a, b: a + b, [c.isNotNull().cast("int") for c in columns])

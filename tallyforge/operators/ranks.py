@@ -33,7 +33,7 @@ COPIES_PER_CHUNK = 100_000
 Sizer = Callable[[DataFrame], DataFrame]
 
 
-def _holding(bins: DataFrame, within: Sequence[str], order: str, wanted: DataFrame) -> DataFrame:
+def holding(bins: DataFrame, within: Sequence[str], order: str, wanted: DataFrame) -> DataFrame:
     """For each wanted rank the bin that holds it, and ``rank`` as the rank inside that bin of ``n``."""
     rows = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = bins.withColumn("_upto", F.sum("n").over(rows)).withColumn("_before", F.col("_upto") - F.col("n"))
@@ -50,12 +50,12 @@ def _locate(hashes: DataFrame, groups: Sequence[str], sizer: Sizer) -> tuple[Dat
     sizes = first.groupBy(*groups).agg(F.sum("n").alias("n"))
     # One row per group and cut.
     wanted = sizer(sizes).select(*groups, F.col("cut").cast("int"), F.col("rank").cast("bigint"))
-    hits = settle(_holding(first, groups, PREFIX, wanted.filter("rank > 0")).drop("n"))
+    hits = settle(holding(first, groups, PREFIX, wanted.filter("rank > 0")).drop("n"))
     near = hashes.withColumn(PREFIX, start).join(hits.select(*groups, PREFIX).distinct(), [*groups, PREFIX], "left_semi")
     few = settle(near.groupBy(*groups, PREFIX, ORDER).agg(F.count(F.lit(1)).alias("n")))
     keys, deeper = [*groups, PREFIX], F.substring(ORDER, 1, 2 * STEP).alias("_deep")
-    middle = _holding(few.groupBy(*keys, deeper).agg(F.sum("n").alias("n")), keys, "_deep", hits).drop("n")
-    found = _holding(few.select(*keys, deeper, ORDER, "n"), [*keys, "_deep"], ORDER, middle)
+    middle = holding(few.groupBy(*keys, deeper).agg(F.sum("n").alias("n")), keys, "_deep", hits).drop("n")
+    found = holding(few.select(*keys, deeper, ORDER, "n"), [*keys, "_deep"], ORDER, middle)
     return sizes, wanted, found.select(*groups, "cut", ORDER, "rank", "n")
 
 

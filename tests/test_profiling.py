@@ -70,6 +70,19 @@ def test_correlation(spark):
             assert got[x, y] == pytest.approx(want.loc[x, y], abs=1e-12)
     with pytest.raises(ValueError):
         profiling.correlation_matrix(df, ["a"])
+    wide = pd.DataFrame(rng.normal(loc=1e6, size=(500, 27)), columns=[f"x{i}" for i in range(27)])
+    wide = wide.mask(rng.random((500, 27)) < 0.2)
+    wide.loc[3, "x0"] = np.inf
+    rows = profiling.correlation_matrix(spark.createDataFrame(wide), list(wide.columns))
+    found = {(r["feature_x"], r["feature_y"]): r["correlation"] for r in rows.collect()}
+    want = wide.corr()
+    assert len(found) == 27 * 27
+    for (x, y), value in found.items():
+        if "x0" in (x, y):
+            assert value is None or np.isnan(wide[y if x == "x0" else x][3])
+        else:
+            assert value == pytest.approx(want.loc[x, y], abs=1e-9)
+    assert profiling.correlation_matrix(df.filter("false"), ["a", "b"]).filter("correlation is not null").count() == 0
 
 
 def test_histogram(spark):
@@ -90,7 +103,16 @@ def test_density(spark):
     h = 1.06 * v.std(ddof=1) * len(v) ** -0.2
     grid = np.linspace(v.min(), v.max(), 90)
     want = np.exp(-0.5 * ((grid[:, None] - v) / h) ** 2).sum(axis=1) / (len(v) * h * math.sqrt(2 * math.pi))
-    assert np.allclose([r["density"] for r in rows], want) and np.allclose([r["x"] for r in rows], grid)
+    assert np.allclose([r["density"] for r in rows], want, rtol=1e-12, atol=1e-14) and np.allclose([r["x"] for r in rows], grid)
+
+
+def test_density_of_outliers(spark):
+    values = np.concatenate([np.random.default_rng(4).normal(size=2000), [1e4, -500.0]])
+    rows = profiling.density_curves(spark.createDataFrame([(0, float(v)) for v in values], "c int, x double"), ["x"], "c", points=400).orderBy("point").collect()
+    h = 1.06 * values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(values.min(), values.max(), 400)
+    want = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(axis=1) / (len(values) * h * math.sqrt(2 * math.pi))
+    assert len(rows) == 400 and np.allclose([r["density"] for r in rows], want, rtol=1e-11, atol=1e-15)
 
 
 def test_pairs_and_names(spark):
@@ -121,6 +143,18 @@ def test_exact_quantiles(spark, monkeypatch, bins):
             assert (got is None and not math.isfinite(want)) or got == pytest.approx(want, rel=1e-12)
 
 
+def test_large_groups_are_bracketed(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SKETCH", 64)
+    monkeypatch.setattr(quantiles, "REACH", 0.02)
+    rng = np.random.default_rng(6)
+    groups = {"normal": rng.normal(size=5000), "ties": rng.integers(0, 7, 4000).astype(float), "hot": np.where(rng.random(3000) < 0.6, 5.0, rng.normal(size=3000))}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g string, value double")
+    for reach in (0.02, 1e-6):  # the second is missed at first and widened
+        monkeypatch.setattr(quantiles, "REACH", reach)
+        for row in quantiles.exact_quantiles(df, ["g"], [0.5, 0.1, 0.99]).collect():
+            assert [row[f"q{i}"] for i in range(3)] == pytest.approx(list(np.quantile(groups[row["g"]], [0.5, 0.1, 0.99])), rel=1e-12)
+
+
 def test_order_statistics_with_infinities(spark):
     values = [float("-inf")] * 3 + [0.0, 1.0, 2.0] + [float("inf")] * 4
     df = spark.createDataFrame([("g", v) for v in values], "g string, value double")
