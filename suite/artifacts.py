@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from suite.registry import query, table
 from tallyforge.operators import artifacts as ops
 from tallyforge.operators import trials
+from tallyforge.session import spread
 
 def _by_status(finished, opened, other):
     status = F.col("o_orderstatus")
@@ -92,7 +93,7 @@ def class_mapping(spark, sf_dir):
     )
     mapping = ops.class_mapping(report, {"N": 0, "Y": 1})
     entries = F.transform(F.array_sort(F.map_entries(mapping)), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(entries, ",").alias("mapping"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", F.array_join(entries, ",").alias("mapping"))
 
 
 @query("""select o_orderkey, case when o_orderpriority = '1-URGENT' then true when o_orderpriority = '2-HIGH' then o_orderstatus = 'F'
@@ -107,7 +108,7 @@ def imbalance_advice(spark, sf_dir):
         .when(priority == "5-LOW", _json('<"class_balance": <"majority_minority_ratio": {o_orderkey % 7}>>'))
         .otherwise(F.lit('{"majority_minority_ratio": "many", "imbalance_ratio": 9}'))
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", ops.needs_balancing(report).alias("balance"))
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", ops.needs_balancing(report).alias("balance"))
 
 
 M = ops.ISSUES

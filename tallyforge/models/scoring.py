@@ -15,6 +15,7 @@ from tallyforge.functions.labels import decode_label, invert_labels
 from tallyforge.functions.parsing import select_once, strict_double
 from tallyforge.models.forest import model_features
 from tallyforge.operators.features import engineer
+from tallyforge.session import spread
 from tallyforge.sources.tables import select_required
 from tallyforge.spec import TableSpec
 
@@ -74,7 +75,7 @@ def score(
 ) -> DataFrame:
     """Raw columns as they came in and the prediction columns, without the derived features."""
     names = invert_labels(class_mapping, spec.labels)
-    inputs = prepare_inputs(df, spec, feature_mode, on_invalid, keep_raw=True)
+    inputs = prepare_inputs(spread(df), spec, feature_mode, on_invalid, keep_raw=True)
     wanted = select_required(inputs, [RAW, *model_features(model)])
     predicted = predict(wanted, model, names)
     outputs = [c for c in predicted.columns if c not in wanted.columns]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.parsing import bound, json_integer, json_number
+from tallyforge.session import spread
 from tallyforge.spec import IMBALANCE_LIMIT
 
 # Where a report may hold the advice and the ratio, in this order.
@@ -74,6 +75,7 @@ def artifact_issues(df: DataFrame, baseline: str, tuned: str, importance: str, i
 
     Every document is parsed once; the rest works on its top-level values.
     """
+    df = spread(df)
     rest = [c for c in df.columns if c not in (baseline, tuned, importance)]
     names = {baseline: "_b", tuned: "_t", importance: "_i"}
     value = lambda document, key: F.try_element_at(document, F.lit(key))

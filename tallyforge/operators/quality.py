@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 from tallyforge.functions.labels import encode_label
 from tallyforge.functions.parsing import is_missing, null_if_token, select_once, strict_double, tidy_label
+from tallyforge.session import spread
 from tallyforge.spec import TableSpec
 
 READING = "_reading_"
@@ -72,6 +73,7 @@ def flag_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
     value when read as a number, on rows that are not missing; ``_unknown`` at labels outside
     the mapping. A row can be missing and unknown at once.
     """
+    df = spread(df)
     fields = {f.name: f.dataType for f in df.schema.fields}
     checks = check_features(df, spec)
     label = tidy_label(F.col(spec.target))
