@@ -170,3 +170,12 @@ def fit_diagnosis(spark, sf_dir):
 def per_second(spark, sf_dir):
     rate = comparison.score_per_second(F.col("o_totalprice"), F.expr("cast(o_custkey % 4 as double)"))
     return table(spark, sf_dir, "orders").select("o_orderkey", F.round(rate, 7).alias("per_second"))
+
+
+@query(f"""with {PREDICTIONS_SQL}, p as (select 'one' as rule, actual, one as predicted from pred union select 'two', actual, two from pred)
+    select rule, count(distinct (actual, predicted)) = 9 and max(predicted) <= 2 as fits from p group by 1""")
+def matrix_shape(spark, sf_dir):
+    """Whether the counts of a rule fill exactly the matrix of three classes; the first rule also predicts a fourth one."""
+    counts = {rule: _counts(spark, sf_dir, rule) for rule in ("one", "two")}
+    rows = [(rule, comparison.has_shape(c, [0, 1, 2])) for rule, c in counts.items()]
+    return spark.createDataFrame(rows, "rule string, fits boolean")
