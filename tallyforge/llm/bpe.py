@@ -9,6 +9,7 @@ gives the state before every block, and one pass over all blocks side by side ma
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -258,20 +259,16 @@ class Tokenizer:
         return self.blob[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
 
 
-_loaded: dict[bytes, Tokenizer] = {}
-
-
 @contextmanager
 def _tokenizer(shared) -> Iterator[Tokenizer]:
-    """The tokenizer of this worker. Its tables stay for later tasks, the pieces that this task has merged go at its end."""
+    """The tokenizer of a task. Its tables and the pieces that it has merged go with the task, as later stages use the worker again."""
     ranks_file, classes = shared.value
-    key = hashlib.md5(ranks_file).digest()
-    if key not in _loaded:
-        _loaded[key] = Tokenizer(ranks_file, np.frombuffer(classes, dtype=np.uint8))
+    tokenizer = Tokenizer(ranks_file, np.frombuffer(classes, dtype=np.uint8))
     try:
-        yield _loaded[key]
+        yield tokenizer
     finally:
-        _loaded[key].cache.clear()
+        del tokenizer
+        gc.collect()
         trim()
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.storage import Scratch, extended, prepare
-from tallyforge.llm.text import _LOWER, Chunk, chunks
+from tallyforge.llm.text import _LOWER, Chunk, chunks, tidy
 
 #: Hashed dimensions, centroids per language, and the bound on the labelled rows per language that they are fitted on.
 DIMENSIONS, CENTROIDS, SAMPLE = 4096, 4, 1200
@@ -237,4 +237,4 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], [*names, "score", "rejected"])
 
     schema = extended(docs.drop("lang_pred").schema, lang_pred="string", score="double", rejected="boolean")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -149,18 +149,20 @@ def mix(
     ``sources`` is an array of the names that a row belongs to; a NULL in it is a source of its own, an empty or NULL
     array counts as that source too. ``source_size`` and ``target`` are NULL for rows of several sources. ``taken`` is a
     multiple of the size but for the one row per pattern at which the order is cut. Rows that agree in id and text
-    there share what is left equally. Columns of ``docs`` with these names are replaced; an empty table gives an empty one.
+    there share what is left equally. Columns of ``docs`` with these names are replaced, all others stay, whatever they are called; an
+    empty table gives an empty one.
     The driver sees one row per pattern and per hash bin at a cut, never rows of documents.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     names = F.when(F.coalesce(F.size(sources), F.lit(0)) > 0, F.array_sort(F.array_distinct(sources))).otherwise(F.array(F.lit(None).cast("string")))
+    own = _free_names(docs.columns, ("pattern", "place", "passes", "low", "high", "left"))
     made = {
         "size": F.regexp_count(F.coalesce(F.col(text_column), F.lit("")), F.lit(WORD)).cast("long"),
-        "_pattern": F.to_json(names, {"ignoreNullFields": "false"}), "_place": _place(id_column, text_column, seed),
+        own["pattern"]: F.to_json(names, {"ignoreNullFields": "false"}), own["place"]: _place(id_column, text_column, seed),
     }
     docs = docs.drop("size", "source_size", "target", "taken", "copies").withColumns(made)
-    narrow = scratch.save(docs.select("_pattern", "_place", "size"))
+    narrow = scratch.save(docs.select(F.col(own["pattern"]).alias("_pattern"), F.col(own["place"]).alias("_place"), "size"))
     found = {row["_pattern"]: row["n"] for row in narrow.groupBy("_pattern").agg(F.sum("size").alias("n")).collect()}
     key = {pattern: tuple(json.loads(pattern)) for pattern in found}
     sizes: dict[str | None, int] = defaultdict(int)
@@ -175,10 +177,23 @@ def mix(
     single = lambda p, of: of[key[p][0]] if len(key[p]) == 1 else None
     rows = [(p, single(p, sizes), single(p, asked), c.passes, c.low, c.high, c.left // max(1, c.rows)) for p, c in cuts.items()]
     plan = spark.createDataFrame(rows, "_pattern string, source_size long, target double, _passes long, _low long, _high long, _left long")
-    more = F.when(F.col("_place") < F.col("_low"), F.col("size")).when(F.col("_place") < F.col("_high"), F.least("_left", "size")).otherwise(F.lit(0))
-    out = docs.join(plan, "_pattern").withColumn("taken", F.col("_passes") * F.col("size") + more)
-    out = out.withColumn("copies", F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("long"))
-    return out.drop("_pattern", "_place", "_passes", "_low", "_high", "_left")
+    plan = plan.withColumnsRenamed({f"_{name}": to for name, to in own.items()})
+    place, size = F.col(own["place"]), F.col("size")
+    more = F.when(place < F.col(own["low"]), size).when(place < F.col(own["high"]), F.least(own["left"], "size")).otherwise(F.lit(0))
+    out = docs.join(plan, own["pattern"]).withColumn("taken", F.col(own["passes"]) * size + more)
+    out = out.withColumn("copies", F.when(size > 0, F.ceil(F.col("taken") / size)).otherwise(F.lit(0)).cast("long"))
+    return out.drop(*own.values())
+
+
+def _free_names(taken: Sequence[str], names: Sequence[str]) -> dict[str, str]:
+    """A column name that no given column has, for each name."""
+    lower, out = {c.lower() for c in taken}, {}
+    for name in names:
+        free = f"_{name}"
+        while free in lower:
+            free = f"_{free}"
+        out[name] = free
+    return out
 
 
 def _narrow(rows: DataFrame, cuts: dict[str, _Cut]) -> None:
@@ -206,9 +221,11 @@ def _narrow(rows: DataFrame, cuts: dict[str, _Cut]) -> None:
                 cut.high = cut.low
 
 
-def materialise(mixed: DataFrame, text_column: str = "text") -> DataFrame:
-    """One row per copy that the mix takes, with ``copy`` from 1; a copy that is taken in part keeps its first words, joined by a blank."""
-    rows = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    words = F.least("size", F.col("taken") - (F.col("copy") - 1) * F.col("size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all(text_column, F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
-    return rows.withColumn(text_column, F.when(words < F.col("size"), cut).otherwise(F.col(text_column)))
+def materialise(mixed: DataFrame, repeats: int = REPEATS) -> DataFrame:
+    """One row per copy that the mix takes, with ``copy`` from 1; texts stay whole.
+
+    The document at which a source reaches its target, which the mix takes in part, comes once more if at least half of it is asked for
+    and else not, so a source misses its target by half a document at most; no document comes more than ``repeats`` times.
+    """
+    whole = F.when(F.col("size") > 0, F.least(F.lit(repeats), F.floor(F.col("taken") / F.col("size") + 0.5))).otherwise(F.lit(0)).cast("long")
+    return mixed.withColumn("copies", whole).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.components import components
 from tallyforge.llm.storage import Scratch, prepare
-from tallyforge.llm.text import _ODD, chunks, find_words, mix, signed, span_hashes, window_hashes
+from tallyforge.llm.text import _ODD, chunks, find_words, mix, signed, span_hashes, tidy, window_hashes
 
 SHINGLE = 5
 #: Sketch coordinates, in bands of ROWS: a pair at similarity 0.75 shares no band with probability 2.5e-7.
@@ -106,7 +106,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_check_batches, "a long, b long, linked boolean")
+    return both.mapInArrow(tidy(_check_batches), "a long, b long, linked boolean")
 
 
 def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, scratch
     open_ = counts.where("low < high").select("bucket", blocks("n_home").alias("homes"), blocks("n_rest").alias("rests"))
     live = scratch.save(others.join(open_, "bucket").select("bucket", "band", "rep", "component", "is_home", "homes", "rests"))
     profiles = scratch.save(
-        texts.join(live.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").select("doc_id", "text").mapInArrow(_profile_batches, "node long, sketch binary, keys binary, items binary")
+        texts.join(live.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").select("doc_id", "text").mapInArrow(tidy(_profile_batches), "node long, sketch binary, keys binary, items binary")
     )
     own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_home"), F.col("homes")).otherwise(F.col("rests"))).cast("int")
     upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     prepare(spark)
     scratch = Scratch(spark, "near-dedup")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    sketched = scratch.save(rows.mapInArrow(_sketch_batches, _SKETCH))
+    sketched = scratch.save(rows.mapInArrow(tidy(_sketch_batches), _SKETCH))
     classes = scratch.save(
         sketched.where("doc_id is not null and n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     )

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.text import CHUNK_BYTES, chunks, find_words
+from tallyforge.llm.text import CHUNK_BYTES, chunks, find_words, tidy
 
 #: Bytes of text in one chunk row, and entries that one bucket should get.
 CHUNK_TEXT, BUCKET_ENTRIES = 4 * CHUNK_BYTES, 1 << 21
@@ -67,7 +67,7 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.
 
 def pack(rows: DataFrame, limit: int = CHUNK_TEXT) -> DataFrame:
     """Chunk rows of a table whose second column is the text."""
-    return rows.mapInArrow(lambda batches: _pack_batches(batches, limit), "chunk long, n_words long, payload binary")
+    return rows.mapInArrow(tidy(lambda batches: _pack_batches(batches, limit)), "chunk long, n_words long, payload binary")
 
 
 def bucket_bits(chunk_rows: DataFrame) -> int:

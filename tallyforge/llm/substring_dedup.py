@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.packing import bucket_bits, pack, packed, rows_of, slices, unpacked
 from tallyforge.llm.storage import Scratch, extended, prepare
-from tallyforge.llm.text import Chunk, chunks, covered, find_words, span_hashes, window_hashes, window_starts
+from tallyforge.llm.text import Chunk, chunks, covered, find_words, span_hashes, tidy, window_hashes, window_starts
 
 WINDOW, BLOCK = 13, 7
 _ENTRY_BITS = 30
@@ -188,13 +188,13 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     bits = bucket_bits(whole)
     parts = whole.select("chunk", "payload")
     answered = (
-        parts.mapInArrow(_probes(bits), _MESSAGE).groupBy("bucket").applyInArrow(_meet, _MESSAGE).where("octet_length(entries) > 0")
+        parts.mapInArrow(tidy(_probes(bits)), _MESSAGE).groupBy("bucket").applyInArrow(_meet, _MESSAGE).where("octet_length(entries) > 0")
         .groupBy("chunk").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("entries").alias("answers"))
     )
     late = (
-        parts.join(answered, "chunk").select("chunk", "payload", "buckets", "answers").mapInArrow(_candidates(bits), _MESSAGE)
+        parts.join(answered, "chunk").select("chunk", "payload", "buckets", "answers").mapInArrow(tidy(_candidates(bits)), _MESSAGE)
         .groupBy("bucket").applyInArrow(_earlier, _MESSAGE).where("octet_length(entries) > 0")
         .groupBy("chunk").agg(F.collect_list("entries").alias("answers"))
     )
     schema = extended(rows.schema, n_words="long", n_removed="long", kept_text="string")
-    return parts.join(late, "chunk", "left").select("chunk", "payload", "answers").mapInArrow(_cut, schema)
+    return parts.join(late, "chunk", "left").select("chunk", "payload", "answers").mapInArrow(tidy(_cut), schema)

@@ -7,7 +7,7 @@ multi-byte character, so that the UTF-8 bytes split as the characters do. Hashes
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,11 +37,25 @@ if hasattr(_libc, "mallopt"):
 
 
 def trim() -> None:
-    """Give freed memory back at the end of a task that held much of it."""
+    """Give memory back at the end of a task that held much of it: the tables of powers, what Arrow keeps, what is freed."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
     if hasattr(_libc, "malloc_trim"):
         _libc.malloc_trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """A function over the batches of a task, with ``trim`` at the task's end; the worker may be used again by a later stage."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return tidied
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the word."""
     x = x ^ (x >> np.uint64(33))

@@ -202,7 +202,14 @@ def test_mixing(spark):
         assert rows[0]["source_size"] == sum(x["size"] for x in rows)
         assert sum(x["taken"] for x in rows) == int(rows[0]["target"]) and rows[0]["target"] <= 2 * rows[0]["source_size"]
     copies = mixing.materialise(mixing.mix(docs, F.array("source"))).collect()
-    assert sum(len(words(x["text"])) for x in copies) == sum(x["taken"] for x in mixed)
+    whole = {x["doc_id"]: x["text"] for x in mixed}
+    assert all(x["text"] == whole[x["doc_id"]] and x["copy"] <= 2 for x in copies)
+    for source, rows in by_source.items():
+        got = sum(len(words(x["text"])) for x in copies if x["source"] == source)
+        assert abs(got - sum(x["taken"] for x in rows)) <= max(x["size"] for x in rows) / 2
+    clash = docs.selectExpr("*", *(f"'mine' as _{c}" for c in ("pattern", "place", "passes", "low", "high", "left")))
+    kept = mixing.mix(clash, F.array("source")).drop("size", "source_size", "target", "taken", "copies")
+    assert set(kept.columns) == set(clash.drop("taken").columns) and kept.where("_left = 'mine' and _pattern = 'mine' and _place = 'mine'").count() == len(texts)
     assert mixing.mix(table(spark, []), F.array("source")).count() == 0
 
 
