@@ -29,9 +29,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the least ``doc_id``."""
+    """One document of each near-duplicate group stays, the one with the least ``doc_id``; of rows that share id and text, one.
+
+    Rows that share an id but not the text are different documents: all of them go or stay by the verdict on their id. Of equal rows the one whose
+    other columns come first stays.
+    """
     copies = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    left = docs.join(copies, "doc_id", "left_anti").withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit("text"), F.col("text"))})
+    key = ["doc_id", "h1", "h2"]
+    # Only rows that repeat are gathered by their text; the others are not moved for it.
+    again = Scratch(spark, "repeated-rows").save(left.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select(*key))
+    others = F.min(F.struct("lang", "source", "n_chars")).alias("first")
+    once = left.join(again, key, "left_semi").groupBy("doc_id", "text").agg(others).select("doc_id", "text", "first.*")
+    return left.join(again, key, "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,10 +53,8 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each copy that the mix takes; the copy at which a source reaches its target keeps its first words."""
-    taken = mixing.materialise(mixing.mix(docs.select(*COLUMNS), F.array("source")))
-    partial = F.col("taken") < F.col("copy") * F.col("size")
-    return taken.withColumn("n_chars", F.when(partial, F.char_length("text")).otherwise(F.col("n_chars")).cast("long")).select(*COLUMNS)
+    """A row for each copy that the mix takes; every text stays whole."""
+    return mixing.materialise(mixing.mix(docs.select(*COLUMNS), F.array("source"))).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

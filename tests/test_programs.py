@@ -215,3 +215,48 @@ def test_documents(spark, tmp_path):
     for reader in (documents.read_document, documents.read_document_text):
         with pytest.raises(FileNotFoundError):
             reader(spark, str(tmp_path / "no.json"))
+
+
+def test_a_search_goes_on_from_its_ledger(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, float(i % 10), float(i % 3), int(i % 10 > 4)) for i in range(120)], "k int, x double, y double, c int")
+    settings = {
+        "n_iter": 3, "folds": 2, "key": ["k"], "partitions": 2, "parallelism": 1,
+        "space": {"n_estimators": [2, 3], "max_depth": [2, 3], "min_samples_split": [2], "max_features": ["sqrt"], "class_weight": [None, "balanced"]},
+    }
+    fits, real = [], search._score_fold
+
+    def stops(data, params, trial, fold, seed, max_bins):
+        fits.append((trial, fold))
+        if len(fits) == 4:
+            raise RuntimeError("lost")
+        return real(data, params, trial, fold, seed, max_bins)
+
+    whole = search.random_search(df, ["x", "y"], "c", **settings)
+    monkeypatch.setattr(search, "_score_fold", stops)
+    ledger = str(tmp_path / "ledger")
+    with pytest.raises(RuntimeError, match="lost"):
+        search.random_search(df, ["x", "y"], "c", ledger=ledger, **settings)
+    kept = set(fits[:3])
+    resumed = search.random_search(df, ["x", "y"], "c", ledger=ledger, **settings)
+    assert not kept & set(fits[4:]) and len(fits) == 4 + 3
+    scores = lambda found: [(r["trial"], r["mean_test_score"], r["rank"]) for r in found.trials.orderBy("trial").collect()]
+    assert scores(resumed) == scores(whole) and resumed.best_params == whole.best_params
+    search.random_search(df, ["x", "y"], "c", ledger=ledger, **settings)
+    assert len(fits) == 7  # nothing is left to do
+    search.random_search(df.filter("k > 0"), ["x", "y"], "c", ledger=ledger, **settings)
+    assert len(fits) == 13  # other rows are another run
+
+
+def test_a_rejected_batch_is_accounted_for(spark, world, tmp_path):
+    rows = spark.createDataFrame([("1", "2"), ("x", "2"), (None, ""), ("3", "4")], "a string, b string")
+    spec = SKY_OBJECTS.with_(numeric=("a", "b"))
+    assert scoring.reject_account(rows, spec).first().asDict() == {"rows": 4, "rows_at_fault": 2, "cells": {"a": 2, "b": 1}}
+    model = forest.train_forest(spark.createDataFrame([(float(i), 0.0, i % 2) for i in range(8)], "a double, b double, c int"), ["a", "b"], "c", forest.BASELINE | {"n_estimators": 2}, partitions=2)
+    with pytest.raises(scoring.BatchRejected, match=r"2 of 4 rows cannot be scored \(a: 2, b: 1\)"):
+        scoring.write_scored(rows, model, spec, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+    account = scoring.write_scored(rows.filter("a in ('1', '3')"), model, spec, str(tmp_path / "out"))
+    assert account == {"rows": 2, "rows_at_fault": 0, "cells": {"a": 0, "b": 0}}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    with pytest.raises(Exception, match="missing or no number: a"):
+        scoring.score(rows, model, spec).collect()
