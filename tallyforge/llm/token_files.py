@@ -30,6 +30,8 @@ from tallyforge.llm.text import _LOWER, _SPACE, Chunk, chunks, find_words, span_
 END_ID = 2
 #: Ids in a row group and in a file, bytes of a data page, and distinct units that a worker remembers.
 GROUP_IDS, FILE_IDS, PAGE_BYTES, CACHE = 2 << 20, 64 << 20, 256 << 10, 600_000
+#: Ids that one task should read back.
+READ_IDS = 2 << 20
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -253,7 +255,10 @@ def read_tokens(spark: SparkSession, path: str, columns: Sequence[str] = ("token
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "start", "n_tokens", *wanted])
 
     schema = "doc_id long, start long, n_tokens long" + "".join(f", {c} {kinds[c]}" for c in wanted)
-    return manifest.select("file", "base").repartition("file").mapInArrow(run, schema)
+    # As many tasks as the ids ask for, one file each at most; a number that is given is not merged by adaptive execution.
+    size = manifest.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
+    tasks = max(1, min(size["files"], -(-size["tokens"] // READ_IDS)))
+    return manifest.select("file", "base").repartition(tasks).mapInArrow(run, schema)
 
 
 def _crc(lists: pa.ListArray) -> pa.Array:

@@ -11,6 +11,7 @@ import base64
 import datetime
 import struct
 import uuid
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -145,8 +146,8 @@ class _Range(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, payload: bool):
-        self.path, self.payload, self.tests = path, payload, []
+    def __init__(self, path: str, payload: bool, skip_damaged: bool = False):
+        self.path, self.payload, self.skip_damaged, self.tests = path, payload, skip_damaged, []
 
     def pushFilters(self, filters: list[Filter]):
         """Tests on header columns are made before a record is inflated; the others go back to Spark."""
@@ -192,7 +193,7 @@ class WarcReader(DataSourceReader):
         system, _ = _open(self.path)
         rows, size = [], 0
         with system.open_input_file(partition.path) as file:
-            for headers, block in records(file, partition.start, partition.end, self.wanted, self.payload):
+            for headers, block in records(file, partition.start, partition.end, self.wanted, self.payload, self.skip_damaged):
                 row = _row(headers, block, self.payload)
                 rows.append(row)
                 size += len(row["payload"] or b"") + 500
@@ -250,64 +251,89 @@ def _first_member(file, start: int, end: int) -> int | None:
     return None
 
 
-def records(file, start: int, end: int, wanted, payload: bool = True) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and block of the wanted records whose members start in the range.
+class Damage(ValueError):
+    """A record that cannot be read whole."""
 
-    Without ``payload`` only the head of the block is inflated.
-    """
-    at = _first_member(file, start, end)
-    while at is not None and at < end:
-        file.seek(at)
-        piece = file.read(1 << 14)
-        if not piece:
-            return
-        skip = 0
-        if len(piece) >= 24 and piece[3] == 4 and piece[12:14] == b"sl":
-            skip = struct.unpack_from("<I", piece, 16)[0]
-        inflate, out = zlib.decompressobj(31), bytearray()
-
-        def more(limit: int) -> bool:
-            """Inflate up to ``limit`` more bytes."""
-            nonlocal piece
-            if not piece and not inflate.unconsumed_tail:
-                piece = file.read(1 << 16)
-            got = inflate.decompress(inflate.unconsumed_tail or piece, limit)
-            piece = b""
-            out.extend(got)
-            return not inflate.eof and (bool(got) or bool(inflate.unconsumed_tail) or bool(piece := file.read(1 << 16)))
-
-        split = -1
-        while split < 0:
+
+def _record(file, at: int, wanted, payload: bool) -> tuple[dict[str, str] | None, bytes, int]:
+    """Headers (None where the record is not wanted) and block of the record at ``at``, and where the next one starts."""
+    file.seek(at)
+    piece, size, skip = file.read(1 << 14), file.size(), 0
+    if len(piece) >= 24 and piece[3] == 4 and piece[12:14] == b"sl":
+        skip = struct.unpack_from("<I", piece, 16)[0]
+        if at + skip > size:
+            raise Damage("the file ends within it")
+    inflate, out = zlib.decompressobj(31), bytearray()
+
+    def more(limit: int) -> bool:
+        """Inflate up to ``limit`` more bytes."""
+        nonlocal piece
+        if not piece and not inflate.unconsumed_tail:
+            piece = file.read(1 << 16)
+        got = inflate.decompress(inflate.unconsumed_tail or piece, limit)
+        piece = b""
+        out.extend(got)
+        return not inflate.eof and (bool(got) or bool(inflate.unconsumed_tail) or bool(piece := file.read(1 << 16)))
+
+    try:
+        going = True
+        while (split := out.find(b"\r\n\r\n")) < 0 and going:
             going = more(1 << 12)
-            split = out.find(b"\r\n\r\n")
-            if not going:
-                break
         if split < 0:
-            return
+            raise Damage("its headers do not end")
         headers = {}
         for line in bytes(out[:split]).decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
+        if not headers.get("content-length", "0").isdigit():
+            raise Damage("its length is no number")
         length, first = int(headers.get("content-length", 0)), split + 4
         take = wanted(headers)
         if take and payload:
             while len(out) < first + length and more(1 << 20):
                 pass
+            if len(out) < first + length:
+                raise Damage(f"it has {len(out) - first} of {length} bytes")
         elif take and headers.get("content-type", "").startswith("application/http"):
             while out.find(b"\r\n\r\n", first) < 0 and len(out) < first + length and more(1 << 12):
                 pass
-        if take:
-            yield headers, bytes(out[first : first + length])
+        block = bytes(out[first : first + length]) if take else b""
         if skip:
-            at += skip
-            continue
+            return headers if take else None, block, at + skip
         while not inflate.eof and more(1 << 20):
             out.clear()
-        at = file.tell() - len(inflate.unused_data)
+        if not inflate.eof:
+            raise Damage("the file ends within it")
+        return headers if take else None, block, file.tell() - len(inflate.unused_data)
+    except zlib.error as error:
+        raise Damage(f"it does not inflate: {error}") from error
+
+
+def records(file, start: int, end: int, wanted, payload: bool = True, skip_damaged: bool = False) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (lower-case names) and block of the wanted records whose members start in the range.
+
+    Without ``payload`` only the head of the block is inflated. A record that is cut off, does not inflate, has no end of its headers or
+    fewer bytes than it names raises ``Damage`` with its place; with ``skip_damaged`` it is left out with a warning, and
+    reading goes on at the next member that starts a record. What is not read of an unwanted record is not checked.
+    """
+    at = _first_member(file, start, end)
+    while at is not None and at < end:
+        try:
+            headers, block, following = _record(file, at, wanted, payload)
+        except Damage as error:
+            if not skip_damaged:
+                raise Damage(f"The record at byte {at} is damaged: {error}.") from error
+            warnings.warn(f"The record at byte {at} is left out: {error}.", stacklevel=2)
+            at = _first_member(file, at + 1, end)
+            continue
+        if headers is not None:
+            yield headers, block
+        at = following
 
 
 class WarcSource(DataSource):
-    """Options: ``path``; ``payload`` ``false`` leaves payloads undecoded (the column is then NULL)."""
+    """Options: ``path``; ``payload`` ``false`` leaves payloads undecoded (the column is then NULL); ``damaged`` ``skip`` leaves out
+    records that cannot be read whole, which are an error otherwise. Paths are those that Arrow's file systems know."""
 
     @classmethod
     def name(cls) -> str:
@@ -317,7 +343,7 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false")
+        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false", self.options.get("damaged", "fail") == "skip")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
         return WarcWriter(self.options["path"], overwrite)
@@ -329,10 +355,13 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """Records below ``path``; no file gives an empty table. Filters on the columns of HEADERS reach the reader."""
+def read_warc(spark: SparkSession, path: str, payload: bool = True, damaged: str = "fail") -> DataFrame:
+    """Records below ``path``; no file gives an empty table. Filters on the columns of HEADERS reach the reader.
+
+    A damaged record fails the job, or is left out when ``damaged`` is ``skip``.
+    """
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).option("damaged", damaged).load(path)
 
 
 def base32_hex(digest: Column) -> Column:

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import public_tokenizers
 import pytest
 from pyarrow import fs
 from pyspark.sql import functions as F
@@ -289,3 +290,36 @@ def test_archive_ranges(tmp_path, monkeypatch):
                 assert got == blocks
                 some = [h["warc-record-id"] for h, _ in warc.records(file, 0, len(whole), lambda h: h["warc-type"] == "metadata", payload=False)]
                 assert some == [f"<u:{i}>" for i in range(0, 40, 3)]
+
+
+def test_damaged_archives(spark, tmp_path):
+    """A record without the end of its headers, one cut off, one with a broken byte: an error, or left out alone."""
+    import gzip
+
+    blocks = [f"block {i} ".encode() * 200 for i in range(6)]
+    whole = [warc.record_bytes({"WARC-Type": "resource", "WARC-Record-ID": f"<u:{i}>"}, b) for i, b in enumerate(blocks)]
+    for plain in (False, True):
+        pack = gzip.compress if plain else warc.member
+        members = [pack(x) for x in whole]
+        broken = bytearray(members[3])
+        broken[len(broken) // 2] ^= 0xFF
+        cases = {
+            "headers": [*members[:3], pack(b"WARC/1.1\r\nWARC-Type: resource\r\n"), *members[4:]],
+            "byte": [*members[:3], bytes(broken), *members[4:]], "tail": [*members[:3], *members[4:], members[3][:-40]],
+            "short": [*members[:3], pack(whole[3][:900]), *members[4:]],
+        }
+        for name, parts in cases.items():
+            folder = tmp_path / f"{name}-{plain}"
+            folder.mkdir()
+            (folder / "a.warc.gz").write_bytes(b"".join(parts))
+            with pytest.raises(Exception, match="is damaged"):
+                warc.read_warc(spark, str(folder)).collect()
+            left = warc.read_warc(spark, str(folder), damaged="skip").collect()
+            assert sorted((r["record_id"], r["payload"]) for r in left) == [(f"u:{i}", blocks[i]) for i in (0, 1, 2, 4, 5)], (name, plain)
+
+
+def test_token_files_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "READ_IDS", 500)
+    docs = documents(spark, [f"some words of text {i} " * 5 for i in range(300)])
+    token_files.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "t"), partitions=6)
+    assert token_files.read_tokens(spark, str(tmp_path / "t")).rdd.getNumPartitions() == 6
