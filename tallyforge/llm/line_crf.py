@@ -1,8 +1,10 @@
 """Quality rules: a linear-chain conditional random field labels the lines of a text, the share of content decides.
 
 The field has two labels, boilerplate (0) and content (1), a weight per line feature and one per pair of neighbouring
-labels. It is fitted by gradient ascent on the exact likelihood (forward-backward) over a bounded sample of labelled
-documents, whose lines all carry the document's label; Viterbi decoding then labels all lines of every text.
+labels. Training documents have a verdict each, their lines have none: line labels are latent, and each line says its
+document's verdict with chance TRUTH only. Expectation-maximisation alternates between the expected labels of lines and
+neighbours (forward-backward, with the verdicts) and gradient ascent on the field's exact likelihood given these. So a good document may
+hold lines of boilerplate, and neighbours of different labels are seen. Viterbi decoding then labels all lines of every text.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ SAMPLE = 600
 REPEAT = 8
 #: Share of words in content lines that a document needs.
 LEAST_CONTENT = 0.5
+#: Chance that a line has the label of its document's verdict, before the line is looked at.
+TRUTH = 0.8
+#: Weight of the quadratic penalty on steps.
+STEP_PENALTY = 0.2
 
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -157,40 +163,72 @@ def _log_add(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def fit_field(features: np.ndarray, bounds: np.ndarray, labels: np.ndarray, rounds: int = 150, penalty: float = 1e-3) -> Field:
-    """Maximise the mean conditional log-likelihood of line labels, less a quadratic penalty."""
-    steps_of = list(_walk(bounds))
-    heads = np.zeros(len(labels), dtype=bool)
-    heads[bounds[:-1]] = True
-    field = Field(np.zeros(features.shape[1]), np.zeros((2, 2)))
-    follows = np.flatnonzero(~heads)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (labels[follows - 1], labels[follows]), 1)
-    moment, square = np.zeros(features.shape[1] + 4), np.zeros(features.shape[1] + 4)
-    for k in range(1, rounds + 1):
-        scores = field.scores(features)
+class _Lattice:
+    """Forward-backward sums over the lines of all documents side by side."""
+
+    def __init__(self, bounds: np.ndarray):
+        self.walk = list(_walk(bounds))
+        self.size = int(bounds[-1])
+        self.head, self.final = np.zeros(self.size, dtype=bool), np.zeros(self.size, dtype=bool)
+        self.head[bounds[:-1]] = self.final[bounds[1:] - 1] = True
+        self.follows = np.flatnonzero(~self.head)
+
+    def expected(self, scores: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Chance of content per line, and expected number of each pair of neighbouring labels."""
         ahead, behind = np.zeros_like(scores), np.zeros_like(scores)
-        for _, at in steps_of:
-            head = heads[at]
-            before = ahead[np.maximum(at - 1, 0)][:, :, None] + field.steps[None]
-            ahead[at] = scores[at] + np.where(head[:, None], 0.0, _log_add(before, 1))
-        final = np.zeros(len(labels), dtype=bool)
-        final[bounds[1:] - 1] = True
-        for _, at in reversed(steps_of):
-            after = np.minimum(at + 1, len(labels) - 1)
-            further = field.steps[None] + (scores[after] + behind[after])[:, None, :]
-            behind[at] = np.where(final[at][:, None], 0.0, _log_add(further, 2))
+        for _, at in self.walk:
+            before = ahead[np.maximum(at - 1, 0)][:, :, None] + steps[None]
+            ahead[at] = scores[at] + np.where(self.head[at][:, None], 0.0, _log_add(before, 1))
+        for _, at in reversed(self.walk):
+            after = np.minimum(at + 1, self.size - 1)
+            further = steps[None] + (scores[after] + behind[after])[:, None, :]
+            behind[at] = np.where(self.final[at][:, None], 0.0, _log_add(further, 2))
         total = _log_add(ahead + behind, 1)
-        content = np.exp(ahead[:, 1] + behind[:, 1] - total)
-        pair = np.exp(ahead[follows - 1][:, :, None] + field.steps[None] + (scores[follows] + behind[follows])[:, None, :] - total[follows][:, None, None])
-        slope = np.concatenate([features.T @ (labels - content), (seen - pair.sum(axis=0)).ravel()]) / len(labels)
-        slope -= penalty * np.concatenate([field.weights, field.steps.ravel()])
+        follows = self.follows
+        pair = np.exp(ahead[follows - 1][:, :, None] + steps[None] + (scores[follows] + behind[follows])[:, None, :] - total[follows][:, None, None])
+        return np.exp(ahead[:, 1] + behind[:, 1] - total), pair.sum(axis=0)
+
+
+def fit_field(
+    features: np.ndarray, lattice: _Lattice, content: np.ndarray, pairs: np.ndarray, start: Field | None = None, rounds: int = 150, penalty: float = 1e-3,
+    step_penalty: float = STEP_PENALTY,
+) -> Field:
+    """Maximise the mean expected log-likelihood for chances of content and expected pairs of neighbouring labels, less a quadratic penalty.
+
+    The penalty on steps is the larger one: a verdict that all lines of a document share must not pass for persistence of their labels.
+    """
+    field = start or Field(np.zeros(features.shape[1]), np.zeros((2, 2)))
+    moment, square = np.zeros(features.shape[1] + 4), np.zeros(features.shape[1] + 4)
+    for k in range(1, rounds + 1):
+        found, seen = lattice.expected(field.scores(features), field.steps)
+        slope = np.concatenate([features.T @ (content - found), (pairs - seen).ravel()]) / len(content)
+        slope -= np.concatenate([penalty * field.weights, step_penalty * field.steps.ravel()])
         moment, square = 0.9 * moment + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         move = 0.15 * (moment / (1 - 0.9**k)) / (np.sqrt(square / (1 - 0.99**k)) + 1e-8)
         field = Field(field.weights + move[:-4], field.steps + move[-4:].reshape(2, 2))
     return field
 
 
+def learn(features: np.ndarray, bounds: np.ndarray, good: np.ndarray, truth: float = TRUTH, turns: int = 8) -> Field:
+    """Field from documents with a verdict each and latent line labels.
+
+    The first turn takes lines as independent, each content with chance ``truth`` in a good document and ``1 - truth`` in another;
+    later turns take what the last field and the verdicts say together.
+    """
+    lattice = _Lattice(bounds)
+    verdict = np.repeat(good, np.diff(bounds))
+    content = np.where(verdict, truth, 1 - truth)
+    both = np.stack([1 - content, content], axis=1)
+    pairs = np.einsum("ia,ib->ab", both[lattice.follows - 1], both[lattice.follows])
+    evidence = np.zeros((len(verdict), 2))
+    evidence[:, 1] = np.where(verdict, 1, -1) * np.log(truth / (1 - truth))
+    field = fit_field(features, lattice, content, pairs)
+    for _ in range(turns):
+        content, pairs = lattice.expected(field.scores(features) + evidence, field.steps)
+        field = fit_field(features, lattice, content, pairs, field, 40)
+    return field
+
+
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         places, goods, cells = [], [], []
@@ -220,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, id_column: str = "doc_
         return Field(np.zeros(width), np.zeros((2, 2)))
     cells = [np.frombuffer(x, dtype=np.float32).reshape(-1, width) for x in rows["features"]]
     sizes_of = np.array([len(c) for c in cells])
-    return fit_field(np.concatenate(cells).astype(np.float64), np.concatenate([[0], np.cumsum(sizes_of)]), np.repeat(rows["good"].to_numpy().astype(int), sizes_of))
+    return learn(np.concatenate(cells).astype(np.float64), np.concatenate([[0], np.cumsum(sizes_of)]), rows["good"].to_numpy().astype(bool))
 
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

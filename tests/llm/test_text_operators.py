@@ -4,7 +4,7 @@ import collections
 import hashlib
 import random
 import re
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +15,8 @@ from tallyforge.llm.components import components
 from tallyforge.llm.near_dedup import near_duplicates, sketch
 from tallyforge.llm.storage import Scratch
 from tallyforge.llm.substring_dedup import remove_repeats
-from tallyforge.llm.text import mix
-from tests.llm.helpers import DOCS, LOWER, documents, least_reachable, table, words
+from tallyforge.llm.text import chunks, mix
+from tests.llm.helpers import DOCS, LOWER, batches, documents, least_reachable, table, words
 
 
 def made_texts(seed, n=60):
@@ -171,6 +171,50 @@ def test_line_rules(spark):
     assert line_crf.fit(docs, labels.where("false"), labels["quality"] == 1).weights.tolist() == [0.0] * len(line_crf.FEATURES)
 
 
+def test_latent_lines(spark):
+    """Boilerplate lines planted inside good documents are found though every training line comes with its document's verdict only."""
+    r = random.Random(10)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9)))
+    prose = lambda: " ".join(word() for _ in range(r.randint(9, 20))) + "."
+    table_line = lambda: " | ".join(word() for _ in range(r.randint(6, 12)))
+    made = []
+    for i in range(160):
+        good = i % 2 == 0
+        lines = [prose() if good else table_line() for _ in range(r.randint(4, 9))]
+        planted = sorted(r.sample(range(1, len(lines)), 1)) if i % 4 < 2 else []
+        for k in planted:
+            lines[k] = table_line() if good else prose()
+        made.append((lines, planted, good))
+    docs = documents(spark, ["\n".join(x[0]) for x in made])
+    labels = table(spark, [(i, int(x[2])) for i, x in enumerate(made)], "doc_id long, quality int")
+    field = line_crf.fit(docs, labels, labels["quality"] == 1)
+    for lines, planted, good in made:
+        for chunk in chunks(batches(["\n".join(lines)])):
+            got = field.decode(line_crf.statistics(chunk)[1]).tolist()
+        assert got == [int(good != (k in planted)) for k in range(len(lines))]
+    found = {x["doc_id"]: x for x in line_crf.judge(docs, field).collect()}
+    for i, (lines, planted, good) in enumerate(made):
+        inside = sum(len(words(x)) for k, x in enumerate(lines) if good != (k in planted))
+        assert found[i]["content_share"] == pytest.approx(inside / len(words("\n".join(lines)))) and found[i]["kept"] == (found[i]["content_share"] >= 0.5)
+
+
+def test_expected_labels():
+    """Forward-backward against all label sequences, by brute force."""
+    r = np.random.Generator(np.random.PCG64(11))
+    bounds, steps = np.array([0, 4, 5, 8]), r.normal(size=(2, 2))
+    scores = r.normal(size=(8, 2))
+    content, pairs = line_crf._Lattice(bounds).expected(scores, steps)
+    want, seen = np.zeros(8), np.zeros((2, 2))
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        paths = list(product((0, 1), repeat=b - a))
+        odds = np.exp([sum(scores[a + k, y] for k, y in enumerate(p)) + sum(steps[x, y] for x, y in zip(p, p[1:])) for p in paths])
+        for p, chance in zip(paths, odds / odds.sum()):
+            want[a:b] += chance * np.array(p)
+            for x, y in zip(p, p[1:]):
+                seen[x, y] += chance
+    assert content == pytest.approx(want) and pairs == pytest.approx(seen)
+
+
 def test_viterbi_finds_the_best_path():
     r = np.random.Generator(np.random.PCG64(2))
     field = line_crf.Field(r.normal(size=3), r.normal(size=(2, 2)))
