@@ -1,11 +1,12 @@
 """Bigram scores from a log-frequency Bloom filter (Talbot and Osborne, 2007).
 
 The count of each bigram is quantised to a level on a logarithmic scale and entered once per level up to its own; a
-reader probes level after level until one is missing. The filter is made of one slice per hash bucket. The bigrams of all
-texts meet in their bucket: those of training texts fill its slice, all are probed there, and each chunk gets the levels of
-its bigrams back. So no process holds more than one slice, and every slice has BITS_PER_ENTRY at any size of the corpus. A
-count read is never taken for more than the exact counts of its two words. Word counts themselves are exact: each chunk
-gets those of its words back.
+reader probes level after level until one is missing. ``fit`` writes the filter, one slice per hash bucket, with the exact
+word counts and a few totals to a folder; ``score`` reads any texts against it. Each slice has ``bits_per_entry`` at any size
+of the corpus. A filter of at most ``broadcast_bytes`` is broadcast and probed where the texts are. A larger one stays in its
+slices: each chunk of text sends its distinct bigrams to their buckets and gets the levels back, so no process holds more
+than one slice. Both ways read the same bits. With 10 bits and 5 probes an entry, 0.94 % of absent entries read as present. A
+count read is never taken for more than the exact counts of its two words.
 """
 
 from __future__ import annotations
@@ -17,15 +18,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm.packing import CHUNK_TEXT, bucket_bits, pack, packed, rows_of, slices, unpacked
+from tallyforge.llm import packing
+from tallyforge.llm.packing import packed, rows_of, slices, unpacked
 from tallyforge.llm.storage import Scratch, prepare
 from tallyforge.llm.text import Chunk, chunks, find_words, mix, span_hashes
 
 #: Base of the count levels, hash functions of an entry, and bits of the filter per entry.
-BASE, PROBES, BITS_PER_ENTRY = 1.5, 4, 6
+BASE, PROBES, BITS_PER_ENTRY = 1.5, 5, 10
+#: Largest filter that is broadcast.
+BROADCAST_BYTES = 64 << 20
 _LEVELS = 64
 _END = np.uint64(0x5851F42D4C957F2D)
 _FLOORS = np.array([BASE**q for q in range(_LEVELS)])
@@ -65,8 +70,11 @@ class _Tokens:
 
 
 _MESSAGE = "bucket long, chunk long, hashes binary, counts binary, kinds binary"
-_COUNTED = "bucket long, chunk long, counts binary, tokens long, types long, level_tokens array<long>"
-_GRADED = "bucket long, chunk long, grades binary, level_types array<long>"
+_COUNTED = "bucket long, chunk long, counts binary, tokens long, types long, level_tokens array<long>, words binary, word_counts binary"
+_WORDS = "bucket long, words binary, word_counts binary"
+_SLICES = "bucket long, size long, flags binary, level_types array<long>"
+_TOTALS = "tokens long, types long, bits int, backoff array<double>"
+_ANSWERS = "bucket long, chunk long, answers binary"
 
 
 def _word_messages(bits: int):
@@ -80,17 +88,17 @@ def _word_messages(bits: int):
     return run
 
 
-def _messages(values: np.ndarray, counts: np.ndarray, kinds: np.ndarray | None, bits: int, chunk: int) -> pa.RecordBatch:
+def _messages(values: np.ndarray, counts: np.ndarray | None, kinds: np.ndarray | None, bits: int, chunk: int) -> pa.RecordBatch:
     runs = list(slices(values, bits))
     return pa.RecordBatch.from_pydict({
         "bucket": pa.array([r[0] for r in runs], pa.int64()), "chunk": pa.array([chunk] * len(runs), pa.int64()),
-        "hashes": pa.array([packed(values[a:b]) for _, a, b in runs], pa.binary()), "counts": pa.array([packed(counts[a:b]) for _, a, b in runs], pa.binary()),
+        "hashes": pa.array([packed(values[a:b]) for _, a, b in runs], pa.binary()), "counts": pa.array([None if counts is None else packed(counts[a:b]) for _, a, b in runs], pa.binary()),
         "kinds": pa.array([None if kinds is None else kinds[a:b].astype(np.uint8).tobytes() for _, a, b in runs], pa.binary()),
     })
 
 
 def _sum_words(table: pa.Table) -> pa.Table:
-    """Of one bucket: total counts for the words of each chunk; the first row also carries the bucket's sums."""
+    """Of one bucket: total counts for the words of each chunk; the first row also carries the bucket's sums and words."""
     blobs = [unpacked(x.as_py()) for x in table.column("hashes")]
     counts = np.concatenate([unpacked(x.as_py()).astype(np.int64) for x in table.column("counts")])
     values, which = np.unique(np.concatenate(blobs), return_inverse=True)
@@ -100,10 +108,15 @@ def _sum_words(table: pa.Table) -> pa.Table:
     for blob in blobs:
         out.append(packed(found[done : done + len(blob)]))
         done += len(blob)
-    rest = [None] * (len(out) - 1)
-    return table.select(["bucket", "chunk"]).append_column("counts", pa.array(out, pa.binary())).append_column(
-        "tokens", pa.array([int(totals.sum()), *rest], pa.int64())
-    ).append_column("types", pa.array([int((totals > 0).sum()), *rest], pa.int64())).append_column("level_tokens", pa.array([by_level.tolist(), *rest], pa.list_(pa.int64())))
+    seen = totals > 0
+    once = {
+        "tokens": (int(totals.sum()), pa.int64()), "types": (int(seen.sum()), pa.int64()), "level_tokens": (by_level.tolist(), pa.list_(pa.int64())),
+        "words": (packed(values[seen]), pa.binary()), "word_counts": (packed(totals[seen]), pa.binary()),
+    }
+    result = table.select(["bucket", "chunk"]).append_column("counts", pa.array(out, pa.binary()))
+    for name, (value, kind) in once.items():
+        result = result.append_column(name, pa.array([value] + [None] * (len(out) - 1), kind))
+    return result
 
 
 def _word_counts(buckets: list[int], answers: list[bytes]) -> np.ndarray:
@@ -113,98 +126,184 @@ def _word_counts(buckets: list[int], answers: list[bytes]) -> np.ndarray:
 
 
 def _bigram_messages(bits: int):
-    """Distinct bigrams of all texts with their counts in training texts and the level of their first word."""
+    """Distinct bigrams of training texts with their counts and the level of their first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload, buckets, answers in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 part = _Tokens(payload)
-                levels = level(_word_counts(buckets, answers))[part.contexts()]
-                values, first, which = np.unique(part.bigrams(), return_index=True, return_inverse=True)
-                counts = np.bincount(which[part.training], minlength=len(values))
+                levels = level(_word_counts(buckets, answers))[part.contexts()][part.training]
+                values, first, counts = np.unique(part.bigrams()[part.training], return_index=True, return_counts=True)
                 yield _messages(values, counts, levels[first], bits, chunk)
 
     return run
 
 
-def _positions(hashes: np.ndarray, q: int, size: int) -> np.ndarray:
-    """Bit of each probe at level ``q``, row per hash."""
+def _questions(bits: int, of):
+    """Distinct hashes of each chunk, by bucket; ``of`` takes them from its tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                yield _messages(of(_Tokens(payload.as_py())), None, None, bits, chunk)
+
+    return run
+
+
+def _positions(hashes: np.ndarray, q: int, size) -> np.ndarray:
+    """Bit of each probe at level ``q``, row per hash; ``size`` is one number or one per hash."""
     seed = mix(hashes + np.uint64(q * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF))
     step = mix(seed ^ np.uint64(0x94D049BB133111EB)) | np.uint64(1)
-    return ((seed[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.uint64(size)).astype(np.int64)
+    return ((seed[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.asarray(size, np.uint64).reshape(-1, 1)).astype(np.int64)
 
 
-def filled(values: np.ndarray, levels: np.ndarray) -> np.ndarray:
+def filled(values: np.ndarray, levels: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> np.ndarray:
     """A slice of the filter: bits that hold each value at all levels from 1 to its own."""
-    flags = np.zeros(max(64, int(levels.sum()) * BITS_PER_ENTRY), dtype=bool)
+    flags = np.zeros(max(64, int(levels.sum()) * bits_per_entry), dtype=bool)
     for q in range(1, int(levels.max(initial=0)) + 1):
         flags[_positions(values[levels >= q], q, len(flags)).ravel()] = True
     return flags
 
 
-def reached(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Level that each value reaches by repeated probes."""
+def _climb(values: np.ndarray, holds) -> np.ndarray:
+    """Level that each value reaches while ``holds(places, level)`` says that all its probes hit."""
     out, left = np.zeros(len(values), dtype=np.int64), np.arange(len(values))
     for q in range(1, _LEVELS):
-        left = left[flags[_positions(values[left], q, len(flags))].all(axis=1)]
+        left = left[holds(left, q)]
         if not len(left):
             break
         out[left] = q
     return out
 
 
-def _grade_bigrams(table: pa.Table) -> pa.Table:
-    """Of one bucket: levels read from its slice for the bigrams of each chunk; the first row also says how many distinct training bigrams follow words of each level."""
-    blobs = [unpacked(x.as_py()) for x in table.column("hashes")]
-    counts = np.concatenate([unpacked(x.as_py()).astype(np.int64) for x in table.column("counts")])
-    kinds = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("kinds")])
-    values, first, which = np.unique(np.concatenate(blobs), return_index=True, return_inverse=True)
-    totals = np.bincount(which, weights=counts, minlength=len(values)).astype(np.int64)
-    levels = level(totals)
-    flags = filled(values[totals > 0], levels[totals > 0])
-    grades, done, out = reached(flags, values).astype(np.uint8)[which], 0, []
+def reached(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Level that each value reaches in one slice by repeated probes."""
+    return _climb(values, lambda left, q: flags[_positions(values[left], q, len(flags))].all(axis=1))
+
+
+class Filter:
+    """All slices in one array of bytes; a bucket without a slice is empty."""
+
+    def __init__(self, bits: int, buckets: np.ndarray, sizes: np.ndarray, flags: list[bytes]):
+        self.bits, self.size, self.start = bits, np.full(1 << bits, 64, np.int64), np.zeros(1 << bits, np.int64)
+        self.size[buckets] = sizes
+        self.start[buckets] = 8 * np.cumsum([8, *map(len, flags)])[:-1] if len(flags) else 0
+        self.data = np.frombuffer(b"".join([bytes(8), *flags]), np.uint8)
+
+    def reached(self, values: np.ndarray) -> np.ndarray:
+        bucket = (values >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(values), np.int64)
+        size, start = self.size[bucket], self.start[bucket]
+
+        def holds(left: np.ndarray, q: int) -> np.ndarray:
+            at = start[left][:, None] + _positions(values[left], q, size[left])
+            return (self.data[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(axis=1)
+
+        return _climb(values, holds)
+
+
+def _fill_slice(bits_per_entry: int):
+    """Of one bucket: its slice, and how many distinct training bigrams follow words of each level."""
+
+    def run(table: pa.Table) -> pa.Table:
+        counts = np.concatenate([unpacked(x.as_py()).astype(np.int64) for x in table.column("counts")])
+        kinds = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("kinds")])
+        values, first, which = np.unique(np.concatenate([unpacked(x.as_py()) for x in table.column("hashes")]), return_index=True, return_inverse=True)
+        flags = filled(values, level(np.bincount(which, weights=counts, minlength=len(values)).astype(np.int64)), bits_per_entry)
+        types = np.bincount(kinds[first], minlength=_LEVELS + 1)
+        return pa.table({
+            "bucket": table.column("bucket")[:1], "size": pa.array([len(flags)], pa.int64()), "flags": pa.array([np.packbits(flags).tobytes()], pa.binary()),
+            "level_types": pa.array([types.tolist()], pa.list_(pa.int64())),
+        })
+
+    return run
+
+
+def _answered(asked: pa.Table, answer, pack_answer) -> pa.Table:
+    """Answers to the hashes of each chunk; all chunks of a bucket are asked at once."""
+    blobs = [unpacked(x.as_py()) for x in asked.column("hashes")]
+    values, which = np.unique(np.concatenate(blobs or [np.zeros(0, np.uint64)]), return_inverse=True)
+    found, done, out = answer(values)[which], 0, []
     for blob in blobs:
-        out.append(zstandard.ZstdCompressor(level=1).compress(grades[done : done + len(blob)].tobytes()))
+        out.append(pack_answer(found[done : done + len(blob)]))
         done += len(blob)
-    types = np.bincount(kinds[first[totals > 0]], minlength=_LEVELS + 1)
-    return table.select(["bucket", "chunk"]).append_column("grades", pa.array(out, pa.binary())).append_column(
-        "level_types", pa.array([types.tolist(), *[None] * (len(out) - 1)], pa.list_(pa.int64()))
-    )
+    return asked.select(["bucket", "chunk"]).append_column("answers", pa.array(out, pa.binary()))
+
+
+def _count_words(asked: pa.Table, known: pa.Table) -> pa.Table:
+    words, counts = (unpacked(known.column(name)[0].as_py()) if len(known) else np.zeros(0, np.uint64) for name in ("words", "word_counts"))
+
+    def answer(values: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(words, values)
+        inside = at < len(words)
+        out = np.zeros(len(values), np.int64)
+        out[inside] = np.where(words[at[inside]] == values[inside], counts[at[inside]].astype(np.int64), 0)
+        return out
 
+    return _answered(asked, answer, packed)
 
-def _pair_counts(buckets: list[int], grades: list[bytes]) -> np.ndarray:
-    """Mean counts of the levels of a chunk's distinct bigrams, in the order of their hashes."""
+
+def _grade(asked: pa.Table, known: pa.Table) -> pa.Table:
+    size = known.column("size")[0].as_py() if len(known) else 64
+    flags = np.unpackbits(np.frombuffer(known.column("flags")[0].as_py(), np.uint8), count=size).astype(bool) if len(known) else np.zeros(size, bool)
+    return _answered(asked, lambda values: reached(flags, values), lambda x: zstandard.ZstdCompressor(level=1).compress(x.astype(np.uint8).tobytes()))
+
+
+def _grades(buckets: list[int], answers: list[bytes]) -> np.ndarray:
+    """Levels of a chunk's distinct bigrams, in the order of their hashes."""
     order = np.argsort(buckets)
-    return _MEANS[np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(grades[i]) for i in order), np.uint8)]
+    return np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(answers[i]) for i in order), np.uint8)
+
+
+def _ask(parts: DataFrame, of, table: DataFrame, answer, bits: int, n_words: int) -> DataFrame:
+    """``chunk, buckets, answers``: what ``table``, a row per bucket, says of the hashes of each chunk.
+
+    Texts of more words than the buckets are made for are asked in portions of chunks, each with its own copy of the row.
+    """
+    portions = max(1, -(-n_words // (2 * packing.BUCKET_ENTRIES << bits)))
+    asked = parts.mapInArrow(_questions(bits, of), _MESSAGE).select("bucket", "chunk", "hashes", F.expr(f"pmod(chunk, {portions})").alias("portion"))
+    known = table.withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(portions - 1).cast("long"))))
+    answers = asked.groupBy("bucket", "portion").cogroup(known.groupBy("bucket", "portion")).applyInArrow(answer, _ANSWERS)
+    return answers.groupBy("chunk").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("answers").alias("answers"))
 
 
 @dataclass
 class Model:
-    """Token and type totals, and the weight of words alone by level of the context."""
+    """Token and type totals, the weight of words alone by level of the context, word counts and filter slices by bucket."""
 
     tokens: int
     types: int
     backoff: np.ndarray
+    bits: int
+    words: DataFrame
+    slices: DataFrame
 
+    def broadcast(self, limit: int) -> Broadcast | None:
+        """The filter on all workers, if it has at most ``limit`` bytes. The sizes are summed before a slice is read."""
+        if (self.slices.agg(F.sum(F.expr("size + 7 >> 3"))).first()[0] or 0) > limit:
+            return None
+        rows = self.slices.select("bucket", "size", "flags").toArrow()
+        whole = Filter(self.bits, rows.column("bucket").to_numpy(), rows.column("size").to_numpy(), rows.column("flags").to_pylist())
+        return self.slices.sparkSession.sparkContext.broadcast(whole)
 
-def _score_batches(shared):
+
+def _score_batches(tokens: int, types: int, backoff: np.ndarray, shared: Broadcast | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
         for batch in batches:
-            for payload, buckets, answers, places, grades in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
+            for _, payload, buckets, answers, *graded in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
                 part = _Tokens(payload)
                 counts = _word_counts(buckets, answers)
                 own, before = counts[part.which], counts[part.contexts()]
-                alone = (own + 0.5) / (model.tokens + 0.5 * (model.types + 1))
-                which = np.unique(part.bigrams(), return_inverse=True)[1]
-                pairs = np.minimum(_pair_counts(places, grades)[which], np.minimum(own, before))
-                weight = model.backoff[level(before)]
+                alone = (own + 0.5) / (tokens + 0.5 * (types + 1))
+                values, which = np.unique(part.bigrams(), return_inverse=True)
+                grades = shared.value.reached(values) if shared else _grades(*graded)
+                pairs = np.minimum(_MEANS[grades][which], np.minimum(own, before))
+                weight = backoff[level(before)]
                 joint = (1 - weight) * pairs / np.maximum(before, 1) + weight * alone
                 sums = lambda x: np.bincount(part.owner, weights=x, minlength=len(part.sizes))  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.table.column(0).combine_chunks(), pa.array(part.held_out), pa.array(part.sizes, pa.int64()), pa.array(sums(own > 0).astype(np.int64)),
-                        pa.array(np.full(len(part.sizes), model.tokens), pa.int64()), pa.array(sums(np.log10(alone))), pa.array(sums(np.log10(joint))),
+                        pa.array(np.full(len(part.sizes), tokens), pa.int64()), pa.array(sums(np.log10(alone))), pa.array(sums(np.log10(joint))),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
@@ -212,37 +311,98 @@ def _score_batches(shared):
     return run
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def _score_told(told: DataFrame, model: Model, n_words: int, broadcast_bytes: int) -> DataFrame:
+    """Scores of chunks that know the counts of their words."""
+    shared = model.broadcast(broadcast_bytes)
+    if shared is None:
+        grades = _ask(told.select("chunk", "payload"), lambda part: np.unique(part.bigrams()), model.slices.select("bucket", "size", "flags"), _grade, model.bits, n_words)
+        told = told.join(grades.toDF("chunk", "places", "grades"), "chunk").select("chunk", "payload", "buckets", "answers", "places", "grades")
+    return told.mapInArrow(
+        _score_batches(model.tokens, model.types, model.backoff, shared),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+    )
+
+
+def _rows(docs: DataFrame, held_out: Column, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+
+
+def _fit_chunks(scratch: Scratch, whole: DataFrame, folder: str, bits_per_entry: int) -> DataFrame:
+    """Write the model of the training texts in chunks; return all chunks with the counts of their words."""
+    spark, bits = scratch.spark, packing.bucket_bits(whole)
+    counted = scratch.save(whole.select("chunk", "payload").mapInArrow(_word_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_sum_words, _COUNTED))
+    counted.where("tokens is not null").select("bucket", "words", "word_counts").write.parquet(f"{folder}/words")
+    totals = counted.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
+    by_level = {r["pos"]: r["n"] for r in counted.select(F.posexplode("level_tokens")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
+    answers = counted.groupBy("chunk").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("counts").alias("answers"))
+    # Both passes below read the chunks with their counts; the tables that these come from can go.
+    told = scratch.save(whole.select("chunk", "payload").join(answers, "chunk").select("chunk", "payload", "buckets", "answers"))
+    scratch.drop(counted)
+    told.mapInArrow(_bigram_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_fill_slice(bits_per_entry), _SLICES).write.parquet(f"{folder}/filter")
+    filter_rows = spark.read.schema(_SLICES).parquet(f"{folder}/filter")
+    types = {r["pos"]: r["n"] for r in filter_rows.select(F.posexplode("level_types")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
+    tokens, types = (np.array([x.get(q, 0) for q in range(_LEVELS + 1)], dtype=np.float64) for x in (by_level, types))
+    backoff = np.where(tokens > 0, types / np.maximum(tokens + types, 1), 1.0)
+    backoff[0] = 1.0
+    backoff = np.clip(backoff, 1e-6, 1.0)
+    row = (totals["tokens"] or 0, totals["types"] or 0, bits, backoff.tolist())
+    spark.createDataFrame([row], _TOTALS).coalesce(1).write.parquet(f"{folder}/totals")
+    return told
+
+
+def fit(docs: DataFrame, folder: str, id_column: str = "doc_id", text_column: str = "text", bits_per_entry: int = BITS_PER_ENTRY) -> Model:
+    """Learn from all rows and write the model to ``folder``, which must be new and shared by all executors.
+
+    It holds ``words`` (exact counts by hash bucket), ``filter`` (a slice per bucket) and ``totals``. NULL texts count as empty;
+    other columns are not read. An empty table gives a model without words.
+    """
+    spark = docs.sparkSession
+    prepare(spark)
+    scratch = Scratch(spark, "ngram-fit")
+    whole = scratch.save(packing.pack(_rows(docs, F.lit(False), id_column, text_column), packing.CHUNK_TEXT // 2))
+    scratch.drop(_fit_chunks(scratch, whole, folder, bits_per_entry))
+    scratch.drop(whole)
+    return load(spark, folder)
+
+
+def load(spark: SparkSession, folder: str) -> Model:
+    """The model that ``fit`` wrote to ``folder``."""
+    row = spark.read.schema(_TOTALS).parquet(f"{folder}/totals").first()
+    words, filter_rows = (spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in (("words", _WORDS), ("filter", _SLICES)))
+    return Model(row["tokens"], row["types"], np.array(row["backoff"]), row["bits"], words, filter_rows)
+
+
+def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Scores of texts that the model need not have seen, with the columns and rules of ``score_texts``; ``held_out`` is true."""
+    spark = docs.sparkSession
+    prepare(spark)
+    scratch = Scratch(spark, "ngram-score")
+    whole = scratch.save(packing.pack(_rows(docs, F.lit(True), id_column, text_column), packing.CHUNK_TEXT // 2))
+    n_words = whole.agg(F.sum("n_words")).first()[0] or 0
+    parts = whole.select("chunk", "payload")
+    told = scratch.save(parts.join(_ask(parts, lambda part: part.values, model.words, _count_words, model.bits, n_words), "chunk"))
+    scratch.drop(whole)
+    return _score_told(told, model, n_words, broadcast_bytes)
+
+
+def score_texts(
+    docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", bits_per_entry: int = BITS_PER_ENTRY, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of each row; learns from rows that are not held out.
 
     Tokens are the words with A-Z lower-cased and one end per text; NULL counts as empty. ``base_score`` sums
     log10((c + 0.5) / (N + 0.5 (V + 1))) with exact counts. ``score`` mixes the relative frequency of the bigram with that word
     probability; its weight by the level of the first word's count is d / (c + d) (Witten and Bell), from the exact numbers of
     tokens c and of distinct bigrams d after words of this level. Without training rows both scores use N = V = 0.
-    A NULL ``held_out`` counts as false. Other columns are not read.
+    A NULL ``held_out`` counts as false. Other columns are not read. The same as ``fit`` on the training rows and ``score`` of
+    all rows, but the words are counted and told to the texts in one exchange.
     """
     spark = docs.sparkSession
     prepare(spark)
     scratch = Scratch(spark, "ngram-lm")
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    whole = scratch.save(pack(rows, CHUNK_TEXT // 2))
-    bits = bucket_bits(whole)
-    parts = whole.select("chunk", "payload")
-    counted = scratch.save(parts.mapInArrow(_word_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_sum_words, _COUNTED))
-    totals = counted.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
-    by_level = {r["pos"]: r["n"] for r in counted.select(F.posexplode("level_tokens")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
-    answers = counted.groupBy("chunk").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("counts").alias("answers"))
-    # Both passes below read the chunks with their counts; the tables that these come from can go.
-    told = scratch.save(parts.join(answers, "chunk").select("chunk", "payload", "buckets", "answers"))
+    whole = scratch.save(packing.pack(_rows(docs, held_out, id_column, text_column), packing.CHUNK_TEXT // 2))
+    n_words = whole.agg(F.sum("n_words")).first()[0] or 0
+    folder = scratch.folder()
+    told = _fit_chunks(scratch, whole, folder, bits_per_entry)
     scratch.drop(whole)
-    scratch.drop(counted)
-    graded = scratch.save(told.mapInArrow(_bigram_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_grade_bigrams, _GRADED))
-    types = {r["pos"]: r["n"] for r in graded.select(F.posexplode("level_types")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
-    tokens, types = (np.array([x.get(q, 0) for q in range(_LEVELS + 1)], dtype=np.float64) for x in (by_level, types))
-    backoff = np.where(tokens > 0, types / np.maximum(tokens + types, 1), 1.0)
-    backoff[0] = 1.0
-    model = Model(totals["tokens"] or 0, totals["types"] or 0, np.clip(backoff, 1e-6, 1.0))
-    shared = spark.sparkContext.broadcast(model)
-    grades = graded.groupBy("chunk").agg(F.collect_list("bucket").alias("places"), F.collect_list("grades").alias("grades"))
-    both = told.join(grades, "chunk").select("chunk", "payload", "buckets", "answers", "places", "grades")
-    return both.mapInArrow(_score_batches(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return _score_told(told, load(spark, folder), n_words, broadcast_bytes)

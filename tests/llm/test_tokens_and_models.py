@@ -14,7 +14,7 @@ import pytest
 from pyarrow import fs
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, lang_id, mixing, token_files, warc
+from tallyforge.llm import bpe, lang_id, mixing, ngram_lm, token_files, warc
 from tallyforge.llm.embedding_dedup import near_vectors, rotation
 from tallyforge.llm.ngram_lm import score_texts
 from tallyforge.llm.storage import Scratch
@@ -160,15 +160,83 @@ def test_scores(spark, monkeypatch, entries):
 
 
 def test_filter_keeps_its_bits_per_entry():
-    """A slice of 800,000 entries, twice what 64 MB left each of 256 slices: unseen values still read as 0 as often as 6 bits allow."""
-    from tallyforge.llm import ngram_lm
-
+    """A slice of 800,000 entries, twice what 64 MB left each of 256 slices: unseen values still read as 0 as often as 10 bits allow."""
     r = np.random.Generator(np.random.PCG64(6))
     seen, unseen = np.unique(r.integers(0, 1 << 63, 400_000, dtype=np.uint64)), r.integers(1 << 63, 1 << 64, 20_000, dtype=np.uint64)
     levels = 1 + np.arange(len(seen)) % 3
     flags = ngram_lm.filled(seen, levels)
     assert len(flags) >= ngram_lm.BITS_PER_ENTRY * levels.sum()
-    assert (ngram_lm.reached(flags, seen) >= levels).all() and (ngram_lm.reached(flags, unseen) > 0).mean() < 0.08
+    assert (ngram_lm.reached(flags, seen) >= levels).all() and (ngram_lm.reached(flags, unseen) > 0).mean() < 0.012
+    one = ngram_lm.Filter(0, np.array([0]), np.array([len(flags)]), [np.packbits(flags).tobytes()])
+    asked = np.concatenate([seen[:5000], unseen])
+    assert (one.reached(asked) == ngram_lm.reached(flags, asked)).all()
+    assert not ngram_lm.Filter(3, np.zeros(0, np.int64), np.zeros(0, np.int64), []).reached(asked).any()
+
+
+def scores_by_hand(training, texts):
+    """The stated smoothing with exact counts in place of the filter."""
+    floors = [1.5**q for q in range(64)]
+    level = lambda c: sum(f <= c for f in floors)
+    mean = lambda q: max(1.0, (math.ceil(floors[q - 1]) + math.ceil(1.5 * floors[q - 1]) - 1) / 2) if q else 0.0
+    tokens = lambda t: [*words((t or "").translate(LOWER)), None]
+    counts, pairs = collections.Counter(), collections.Counter()
+    for t in map(tokens, training):
+        counts.update(t)
+        pairs.update(zip([None, *t], t))
+    n, v, seen, kinds = sum(counts.values()), len(counts), collections.Counter(), collections.Counter()
+    for c in counts.values():
+        seen[level(c)] += c
+    for a, _ in pairs:
+        kinds[level(counts[a])] += 1
+    out = []
+    for t in map(tokens, texts):
+        total = 0.0
+        for a, b in zip([None, *t], t):
+            q = level(counts[a])
+            weight = max(1e-6, kinds[q] / (kinds[q] + seen[q])) if q and seen[q] else 1.0
+            alone = (counts[b] + 0.5) / (n + 0.5 * (v + 1))
+            total += math.log10((1 - weight) * min(mean(level(pairs[a, b])), counts[a], counts[b]) / max(counts[a], 1) + weight * alone)
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("entries", [1 << 21, 300])
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_scores_by_brute_force(spark, monkeypatch, tmp_path, entries, limit):
+    """A filter with room enough gives the scores of exact counts, broadcast or by bucket, on training texts and on new ones."""
+    monkeypatch.setattr("tallyforge.llm.packing.BUCKET_ENTRIES", entries)
+    r = random.Random(11)
+    say = lambda n: " ".join(r.choice("abcdefghij") + r.choice("XYZxyz") for _ in range(n))
+    texts = [None, "", "a", "\n", *(say(r.randint(1, 80)) for _ in range(100)), say(30_000), *[say(20)] * 5]
+    docs = documents(spark, texts).withColumn("held_out", F.lit("mine")).withColumn("chunk", F.lit("mine"))
+    held = [i % 5 == 1 for i in range(len(texts))]
+    training = [t for t, h in zip(texts, held) if not h]
+    found = {x["doc_id"]: x for x in ngram_lm.score_texts(docs, F.col("doc_id") % 5 == 1, bits_per_entry=160, broadcast_bytes=limit).collect()}
+    assert [found[i]["score"] for i in range(len(texts))] == pytest.approx(scores_by_hand(training, texts))
+    model = ngram_lm.fit(docs.where("doc_id % 5 != 1"), str(tmp_path / "model"), bits_per_entry=160)
+    new = [*texts, "unheard words only", *(say(50) + f" new{i}" for i in range(40))]
+    again = {x["doc_id"]: x for x in ngram_lm.score(documents(spark, new), ngram_lm.load(spark, str(tmp_path / "model")), broadcast_bytes=limit).collect()}
+    assert [again[i]["score"] for i in range(len(new))] == pytest.approx(scores_by_hand(training, new))
+    assert all(again[i][c] == found[i][c] for i in found for c in ("n_tokens", "n_known", "train_tokens")) and model.tokens == found[0]["train_tokens"]
+    assert again[len(texts)]["n_known"] == 1  # its end
+
+
+def test_scores_with_filter_errors(spark):
+    """With the production bits a few absent pairs read as present, alike in both ways of reading; scores hardly move."""
+    r = random.Random(12)
+    texts = [" ".join(f"w{int(r.paretovariate(0.7))}" for _ in range(100)) for _ in range(200)]
+    a, b = ({x["doc_id"]: x["score"] for x in ngram_lm.score_texts(documents(spark, texts), F.col("doc_id") % 2 == 1, broadcast_bytes=size).collect()} for size in (0, 1 << 20))
+    assert a == b
+    exact = scores_by_hand(texts[::2], texts)
+    assert all(-1e-9 <= a[i] - exact[i] < 0.05 * -exact[i] for i in a) and sum(a.values()) - sum(exact) < 0.01 * -sum(exact)
+
+
+def test_scores_of_no_training_text(spark, tmp_path):
+    model = ngram_lm.fit(table(spark, []), str(tmp_path / "empty"))
+    for limit in (0, 1 << 20):
+        found = ngram_lm.score(documents(spark, ["a b", None]), model, broadcast_bytes=limit).orderBy("doc_id").collect()
+        assert [x["n_tokens"] for x in found] == [3, 1] and [x["score"] for x in found] == pytest.approx([0.0, 0.0])
+        assert ngram_lm.score(table(spark, []), model, broadcast_bytes=limit).count() == 0
 
 
 def test_scores_of_unseen_pairs(spark, monkeypatch):
