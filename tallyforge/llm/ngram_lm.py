@@ -1,12 +1,13 @@
 """Bigram scores from a log-frequency Bloom filter (Talbot and Osborne, 2007).
 
 The count of each bigram is quantised to a level on a logarithmic scale and entered once per level up to its own; a
-reader probes level after level until one is missing. ``fit`` writes the filter, one slice per hash bucket, with the exact
-word counts and a few totals to a folder; ``score`` reads any texts against it. Each slice has ``bits_per_entry`` at any size
-of the corpus. A filter of at most ``broadcast_bytes`` is broadcast and probed where the texts are. A larger one stays in its
-slices: each chunk of text sends its distinct bigrams to their buckets and gets the levels back, so no process holds more
-than one slice. Both ways read the same bits. With 10 bits and 5 probes an entry, 0.94 % of absent entries read as present. A
-count read is never taken for more than the exact counts of its two words.
+reader probes level after level until one is missing. The filter has one slice per hash bucket, with ``bits_per_entry`` at any
+size of the corpus; the bigrams of training texts meet in their bucket and fill its slice. ``fit`` writes slices, exact word
+counts and a few totals to a folder, and ``score`` reads any texts against them: a filter of at most ``broadcast_bytes`` is
+broadcast and probed where the texts are, of a larger one each slice answers in its bucket, so that no process holds more than
+one. ``score_texts`` scores the corpus that it learns from: the bigrams are in their buckets already, so each slice answers
+there once it is full, at any size. All ways read the same bits. With 10 bits and 5 probes an entry, 0.94 % of absent
+entries read as present. A count read is never taken for more than the exact counts of its two words.
 """
 
 from __future__ import annotations
@@ -72,7 +73,8 @@ class _Tokens:
 _MESSAGE = "bucket long, chunk long, hashes binary, counts binary, kinds binary"
 _COUNTED = "bucket long, chunk long, counts binary, tokens long, types long, level_tokens array<long>, words binary, word_counts binary"
 _WORDS = "bucket long, words binary, word_counts binary"
-_SLICES = "bucket long, size long, flags binary, level_types array<long>"
+_GRADED = "bucket long, chunk long, answers binary, size long, flags binary, level_types array<long>"
+_SLICES = "bucket long, size long, flags binary"
 _TOTALS = "tokens long, types long, bits int, backoff array<double>"
 _ANSWERS = "bucket long, chunk long, answers binary"
 
@@ -125,15 +127,17 @@ def _word_counts(buckets: list[int], answers: list[bytes]) -> np.ndarray:
     return np.concatenate([unpacked(answers[i]).astype(np.int64) for i in order])
 
 
-def _bigram_messages(bits: int):
-    """Distinct bigrams of training texts with their counts and the level of their first word."""
+def _bigram_messages(bits: int, grade: bool):
+    """Distinct bigrams, of training texts alone if none are graded, with their counts in training texts and the level of their first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload, buckets, answers in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 part = _Tokens(payload)
-                levels = level(_word_counts(buckets, answers))[part.contexts()][part.training]
-                values, first, counts = np.unique(part.bigrams()[part.training], return_index=True, return_counts=True)
+                sent = np.ones(len(part.hashes), bool) if grade else part.training
+                levels = level(_word_counts(buckets, answers))[part.contexts()][sent]
+                values, first, which = np.unique(part.bigrams()[sent], return_index=True, return_inverse=True)
+                counts = np.bincount(which[part.training[sent]], minlength=len(values))
                 yield _messages(values, counts, levels[first], bits, chunk)
 
     return run
@@ -201,18 +205,31 @@ class Filter:
         return _climb(values, holds)
 
 
-def _fill_slice(bits_per_entry: int):
-    """Of one bucket: its slice, and how many distinct training bigrams follow words of each level."""
+def _compressed(grades: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(grades.astype(np.uint8).tobytes())
+
+
+def _fill_slice(bits_per_entry: int, keep: bool, grade: bool):
+    """Of one bucket: levels read from its slice for the bigrams of each chunk; the first row carries the slice and how many distinct training bigrams follow words of each level."""
 
     def run(table: pa.Table) -> pa.Table:
+        blobs = [unpacked(x.as_py()) for x in table.column("hashes")]
         counts = np.concatenate([unpacked(x.as_py()).astype(np.int64) for x in table.column("counts")])
         kinds = np.concatenate([np.frombuffer(x.as_py(), np.uint8) for x in table.column("kinds")])
-        values, first, which = np.unique(np.concatenate([unpacked(x.as_py()) for x in table.column("hashes")]), return_index=True, return_inverse=True)
-        flags = filled(values, level(np.bincount(which, weights=counts, minlength=len(values)).astype(np.int64)), bits_per_entry)
-        types = np.bincount(kinds[first], minlength=_LEVELS + 1)
+        values, first, which = np.unique(np.concatenate(blobs), return_index=True, return_inverse=True)
+        totals = np.bincount(which, weights=counts, minlength=len(values)).astype(np.int64)
+        seen = totals > 0
+        flags = filled(values[seen], level(totals[seen]), bits_per_entry)
+        out = [None]
+        if grade:
+            grades, edges = reached(flags, values)[which], np.cumsum([0, *map(len, blobs)])
+            out = [_compressed(grades[a:b]) for a, b in zip(edges, edges[1:])]
+        rest = [None] * (len(out) - 1)
+        types = np.bincount(kinds[first[seen]], minlength=_LEVELS + 1).tolist()
         return pa.table({
-            "bucket": table.column("bucket")[:1], "size": pa.array([len(flags)], pa.int64()), "flags": pa.array([np.packbits(flags).tobytes()], pa.binary()),
-            "level_types": pa.array([types.tolist()], pa.list_(pa.int64())),
+            "bucket": table.column("bucket")[: len(out)], "chunk": table.column("chunk")[: len(out)], "answers": pa.array(out, pa.binary()),
+            "size": pa.array([len(flags) if keep else None, *rest], pa.int64()), "flags": pa.array([np.packbits(flags).tobytes() if keep else None, *rest], pa.binary()),
+            "level_types": pa.array([types, *rest], pa.list_(pa.int64())),
         })
 
     return run
@@ -245,7 +262,7 @@ def _count_words(asked: pa.Table, known: pa.Table) -> pa.Table:
 def _grade(asked: pa.Table, known: pa.Table) -> pa.Table:
     size = known.column("size")[0].as_py() if len(known) else 64
     flags = np.unpackbits(np.frombuffer(known.column("flags")[0].as_py(), np.uint8), count=size).astype(bool) if len(known) else np.zeros(size, bool)
-    return _answered(asked, lambda values: reached(flags, values), lambda x: zstandard.ZstdCompressor(level=1).compress(x.astype(np.uint8).tobytes()))
+    return _answered(asked, lambda values: reached(flags, values), _compressed)
 
 
 def _grades(buckets: list[int], answers: list[bytes]) -> np.ndarray:
@@ -311,43 +328,43 @@ def _score_batches(tokens: int, types: int, backoff: np.ndarray, shared: Broadca
     return run
 
 
-def _score_told(told: DataFrame, model: Model, n_words: int, broadcast_bytes: int) -> DataFrame:
-    """Scores of chunks that know the counts of their words."""
-    shared = model.broadcast(broadcast_bytes)
-    if shared is None:
-        grades = _ask(told.select("chunk", "payload"), lambda part: np.unique(part.bigrams()), model.slices.select("bucket", "size", "flags"), _grade, model.bits, n_words)
-        told = told.join(grades.toDF("chunk", "places", "grades"), "chunk").select("chunk", "payload", "buckets", "answers", "places", "grades")
-    return told.mapInArrow(
-        _score_batches(model.tokens, model.types, model.backoff, shared),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
-    )
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _score_told(told: DataFrame, answers: DataFrame, tokens: int, types: int, backoff: np.ndarray) -> DataFrame:
+    """Scores of chunks that know the counts of their words, by ``chunk, places, grades`` of their bigrams."""
+    both = told.join(answers.toDF("chunk", "places", "grades"), "chunk").select("chunk", "payload", "buckets", "answers", "places", "grades")
+    return both.mapInArrow(_score_batches(tokens, types, backoff, None), _SCORES)
 
 
 def _rows(docs: DataFrame, held_out: Column, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
 
 
-def _fit_chunks(scratch: Scratch, whole: DataFrame, folder: str, bits_per_entry: int) -> DataFrame:
-    """Write the model of the training texts in chunks; return all chunks with the counts of their words."""
+def _learn(scratch: Scratch, whole: DataFrame, folder: str | None, bits_per_entry: int, grade: bool) -> tuple:
+    """Chunks with the counts of their words, levels of their bigrams if asked for, totals; the model goes to ``folder`` if there is one."""
     spark, bits = scratch.spark, packing.bucket_bits(whole)
     counted = scratch.save(whole.select("chunk", "payload").mapInArrow(_word_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_sum_words, _COUNTED))
-    counted.where("tokens is not null").select("bucket", "words", "word_counts").write.parquet(f"{folder}/words")
     totals = counted.agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
     by_level = {r["pos"]: r["n"] for r in counted.select(F.posexplode("level_tokens")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
+    if folder is not None:
+        counted.where("tokens is not null").select("bucket", "words", "word_counts").write.parquet(f"{folder}/words")
     answers = counted.groupBy("chunk").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("counts").alias("answers"))
     # Both passes below read the chunks with their counts; the tables that these come from can go.
     told = scratch.save(whole.select("chunk", "payload").join(answers, "chunk").select("chunk", "payload", "buckets", "answers"))
+    scratch.drop(whole)
     scratch.drop(counted)
-    told.mapInArrow(_bigram_messages(bits), _MESSAGE).groupBy("bucket").applyInArrow(_fill_slice(bits_per_entry), _SLICES).write.parquet(f"{folder}/filter")
-    filter_rows = spark.read.schema(_SLICES).parquet(f"{folder}/filter")
-    types = {r["pos"]: r["n"] for r in filter_rows.select(F.posexplode("level_types")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
+    messages = told.mapInArrow(_bigram_messages(bits, grade), _MESSAGE)
+    graded = scratch.save(messages.groupBy("bucket").applyInArrow(_fill_slice(bits_per_entry, folder is not None, grade), _GRADED))
+    types = {r["pos"]: r["n"] for r in graded.select(F.posexplode("level_types")).groupBy("pos").agg(F.sum("col").alias("n")).collect()}
     tokens, types = (np.array([x.get(q, 0) for q in range(_LEVELS + 1)], dtype=np.float64) for x in (by_level, types))
     backoff = np.where(tokens > 0, types / np.maximum(tokens + types, 1), 1.0)
     backoff[0] = 1.0
     backoff = np.clip(backoff, 1e-6, 1.0)
-    row = (totals["tokens"] or 0, totals["types"] or 0, bits, backoff.tolist())
-    spark.createDataFrame([row], _TOTALS).coalesce(1).write.parquet(f"{folder}/totals")
-    return told
+    if folder is not None:
+        graded.where("size is not null").select("bucket", "size", "flags").write.parquet(f"{folder}/filter")
+        spark.createDataFrame([(totals["tokens"] or 0, totals["types"] or 0, bits, backoff.tolist())], _TOTALS).coalesce(1).write.parquet(f"{folder}/totals")
+    return told, graded, (totals["tokens"] or 0, totals["types"] or 0, backoff)
 
 
 def fit(docs: DataFrame, folder: str, id_column: str = "doc_id", text_column: str = "text", bits_per_entry: int = BITS_PER_ENTRY) -> Model:
@@ -360,8 +377,9 @@ def fit(docs: DataFrame, folder: str, id_column: str = "doc_id", text_column: st
     prepare(spark)
     scratch = Scratch(spark, "ngram-fit")
     whole = scratch.save(packing.pack(_rows(docs, F.lit(False), id_column, text_column), packing.CHUNK_TEXT // 2))
-    scratch.drop(_fit_chunks(scratch, whole, folder, bits_per_entry))
-    scratch.drop(whole)
+    told, graded, _ = _learn(scratch, whole, folder, bits_per_entry, grade=False)
+    scratch.drop(told)
+    scratch.drop(graded)
     return load(spark, folder)
 
 
@@ -382,11 +400,15 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     parts = whole.select("chunk", "payload")
     told = scratch.save(parts.join(_ask(parts, lambda part: part.values, model.words, _count_words, model.bits, n_words), "chunk"))
     scratch.drop(whole)
-    return _score_told(told, model, n_words, broadcast_bytes)
+    shared = model.broadcast(broadcast_bytes)
+    if shared is not None:
+        return told.mapInArrow(_score_batches(model.tokens, model.types, model.backoff, shared), _SCORES)
+    grades = _ask(told.select("chunk", "payload"), lambda part: np.unique(part.bigrams()), model.slices, _grade, model.bits, n_words)
+    return _score_told(told, grades, model.tokens, model.types, model.backoff)
 
 
 def score_texts(
-    docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", bits_per_entry: int = BITS_PER_ENTRY, broadcast_bytes: int = BROADCAST_BYTES
+    docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", folder: str | None = None, bits_per_entry: int = BITS_PER_ENTRY
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of each row; learns from rows that are not held out.
 
@@ -394,15 +416,12 @@ def score_texts(
     log10((c + 0.5) / (N + 0.5 (V + 1))) with exact counts. ``score`` mixes the relative frequency of the bigram with that word
     probability; its weight by the level of the first word's count is d / (c + d) (Witten and Bell), from the exact numbers of
     tokens c and of distinct bigrams d after words of this level. Without training rows both scores use N = V = 0.
-    A NULL ``held_out`` counts as false. Other columns are not read. The same as ``fit`` on the training rows and ``score`` of
-    all rows, but the words are counted and told to the texts in one exchange.
+    A NULL ``held_out`` counts as false. Other columns are not read. The scores are those of ``fit`` on the training rows and
+    ``score`` of all rows; with ``folder`` the model is also written there.
     """
     spark = docs.sparkSession
     prepare(spark)
     scratch = Scratch(spark, "ngram-lm")
     whole = scratch.save(packing.pack(_rows(docs, held_out, id_column, text_column), packing.CHUNK_TEXT // 2))
-    n_words = whole.agg(F.sum("n_words")).first()[0] or 0
-    folder = scratch.folder()
-    told = _fit_chunks(scratch, whole, folder, bits_per_entry)
-    scratch.drop(whole)
-    return _score_told(told, load(spark, folder), n_words, broadcast_bytes)
+    told, graded, totals = _learn(scratch, whole, folder, bits_per_entry, grade=True)
+    return _score_told(told, graded.groupBy("chunk").agg(F.collect_list("bucket"), F.collect_list("answers")), *totals)
