@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.storage import Scratch
 
+#: Links that one file of a round takes.
+FILE_LINKS = 1 << 18
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Tie each larger neighbour of a node to the least node around it."""
@@ -23,17 +26,18 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("low").alias("b"))).distinct()
 
 
-def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, at_most: int | None = None) -> DataFrame:
     """``node``, ``component`` for every node of ``links`` (``a``, ``b``) but the least one of each component.
 
     Only minima per node and link rows are shuffled, never a whole component; a node with very many
     links is one side of a join that adaptive execution splits. Each round is written to the shared
-    folder. No row for an empty table.
+    folder, in as many files as its links fill: no star has more links than there were before it. ``at_most``
+    bounds the links given, if the caller knows a bound. No row for an empty table.
     """
-    current = scratch.save(links.select("a", "b").where("a != b").distinct())
+    current = scratch.save(links.select("a", "b").where("a != b").distinct(), None if at_most is None else scratch.files(at_most, FILE_LINKS))
     mark = _mark(current)
     while True:
-        following = scratch.save(_small_star(_large_star(current)))
+        following = scratch.save(_small_star(_large_star(current)), scratch.files(mark[0], FILE_LINKS))
         found = _mark(following)
         scratch.drop(current)
         current = following

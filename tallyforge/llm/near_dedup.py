@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.components import components
+from tallyforge.llm.components import FILE_LINKS, components
 from tallyforge.llm.storage import Scratch, prepare
 from tallyforge.llm.text import _ODD, chunks, find_words, mix, signed, span_hashes, tidy, window_hashes
 
@@ -25,6 +26,8 @@ SHINGLE = 5
 SIZE, ROWS = 160, 4
 #: Equal coordinates that a pair of a block needs before its sets are compared; rows of one side of a block.
 LEAST_EQUAL, BLOCK_ROWS = 91, 512
+#: Classes (a third of a kilobyte), band keys and bytes of text that one file takes.
+FILE_CLASSES, FILE_KEYS, FILE_TEXT = 1 << 16, 1 << 19, 1 << 25
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
@@ -76,7 +79,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return signed(mix(total))
 
 
-_SKETCH = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+_SKETCH = "doc_id long, n_bytes long, n_shingles long, set_key binary, bands array<long>"
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,8 +90,8 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             keys.append(np.array([mix(items ^ _SEEDS[k]).sum() for k in (0, 1)]).tobytes() if len(items) else None)
             bands.append(band_keys(sketch(items)) if len(items) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "set_key", "bands"],
+            [batch.column(0), pc.binary_length(batch.column(1)).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            ["doc_id", "n_bytes", "n_shingles", "set_key", "bands"],
         )
 
 
@@ -152,7 +155,7 @@ def _block_pairs(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([min(f) for f in found], pa.int64()), "b": pa.array([max(f) for f in found], pa.int64())})
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+def _rest_pairs(members: DataFrame, n_members: int, labels: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Candidate links that the pivots left open: members of a bucket in unlike components, compared block by block."""
     named = members.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "band", "rep", "pivot", F.coalesce("component", "rep").alias("component"))
     homes = named.where("rep = pivot").select("bucket", F.col("component").alias("home"))
@@ -162,10 +165,10 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, scratch
     )
     blocks = lambda n: F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
     open_ = counts.where("low < high").select("bucket", blocks("n_home").alias("homes"), blocks("n_rest").alias("rests"))
-    live = scratch.save(others.join(open_, "bucket").select("bucket", "band", "rep", "component", "is_home", "homes", "rests"))
-    profiles = scratch.save(
-        texts.join(live.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").select("doc_id", "text").mapInArrow(tidy(_profile_batches), "node long, sketch binary, keys binary, items binary")
-    )
+    live = others.join(open_, "bucket").select("bucket", "band", "rep", "component", "is_home", "homes", "rests")
+    live = scratch.save(live, scratch.files(n_members, FILE_LINKS))
+    profiled = texts.join(live.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi").select("doc_id", "text")
+    profiles = profiled.mapInArrow(tidy(_profile_batches), "node long, sketch binary, keys binary, items binary")
     own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_home"), F.col("homes")).otherwise(F.col("rests"))).cast("int")
     upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
     cell = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
@@ -191,32 +194,35 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     are grouped by band; in each bucket the least id is compared with all members. A bucket whose members
     then lie in one component is done, since no further pair in it can change a component. In the others
     all members of unlike components are compared, in blocks of bounded size that give out links only.
-    Nothing is capped, and every link is confirmed on the full shingle sets of both texts.
+    Nothing is capped, and every link is confirmed on the full shingle sets of both texts. Tables between
+    steps whose rows have a known bound are written in as many files as that bound fills.
     """
     spark = docs.sparkSession
     prepare(spark)
     scratch = Scratch(spark, "near-dedup")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     sketched = scratch.save(rows.mapInArrow(tidy(_sketch_batches), _SKETCH))
-    classes = scratch.save(
-        sketched.where("doc_id is not null and n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    )
+    n_rows, n_bytes = sketched.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    classes = sketched.where("doc_id is not null and n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    classes = scratch.save(classes, scratch.files(n_rows, FILE_CLASSES))
     banded = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).where("n > 1").select("bucket", "pivot")
-    members = scratch.save(banded.join(shared, "bucket"))
+    members = scratch.save(banded.join(shared, "bucket"), scratch.files(classes.count() * SIZE // ROWS, FILE_KEYS))
+    n_members = members.count()
     needed = members.select("rep").distinct()
-    texts = scratch.save(rows.join(needed, rows.doc_id == needed.rep, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+    texts = rows.join(needed, rows.doc_id == needed.rep, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = scratch.save(texts, scratch.files(n_bytes, FILE_TEXT))
 
     stars = members.where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = scratch.save(_verified(stars, texts).where("linked").select("a", "b"))
-    labels = components(links, scratch)
-    more = scratch.save(_verified(_rest_pairs(members, labels, texts, scratch), texts).where("linked").select("a", "b"))
-    if not more.isEmpty():
-        labels = components(links.unionByName(more), scratch)
+    labels = components(_verified(stars, texts).where("linked"), scratch, n_members)
+    more = _verified(_rest_pairs(members, n_members, labels, texts, scratch), texts).where("linked").select("a", "b")
+    # Labels are links to the least id of their component, so that only components which ``more`` joins take further rounds.
+    labels = components(labels.toDF("a", "b").unionByName(more), scratch)
     named = classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     return (
         sketched.select("doc_id", "n_shingles", "set_key")
         .join(named, "set_key", "left")
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .coalesce(scratch.files(n_rows, FILE_LINKS))
     )

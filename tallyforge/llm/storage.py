@@ -73,9 +73,15 @@ class Scratch:
     def folder(self) -> str:
         return f"{self.root}/{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def files(self, amount: int, each: int) -> int:
+        """How many files that many rows or bytes fill, ``each`` in one, but one for each core at least."""
+        return max(self.spark.sparkContext.defaultParallelism, -(-amount // each))
+
+    def save(self, df: DataFrame, files: int | None = None) -> DataFrame:
+        """``files``: no more than these are written, by as many tasks. On a local file system each file costs
+        three processes that the executor starts (Hadoop sets its mode by ``chmod``), more than a small partition itself."""
         path = self.folder()
-        df.write.parquet(path)
+        (df if files is None else df.coalesce(files)).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         return out

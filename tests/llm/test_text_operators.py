@@ -105,6 +105,46 @@ def test_components_of_a_long_path(spark):
     assert found == {**{i: 0 for i in range(1, 61)}, 101: 100}
 
 
+def test_rounds_write_as_many_files_as_their_links_fill(spark, monkeypatch):
+    """A file costs processes that the executor starts, however few rows it has."""
+    written, save = [], Scratch.save
+
+    def saved(self, *args):
+        written.append(len((out := save(self, *args)).inputFiles()))
+        return out
+
+    monkeypatch.setattr(Scratch, "save", saved)
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.enabled": "true"}
+    before = {k: spark.conf.get(k) for k in held}
+    links = spark.createDataFrame([(i, i + 1) for i in range(400) if i % 4 != 3] + [(2, 1), (9, 9)], "a long, b long")
+    texts = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(150)] * 2
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = {r["node"]: r["component"] for r in components(links, Scratch(spark, "test")).collect()}
+        rounds, written[:] = list(written), []
+        result = near_duplicates(documents(spark, texts))
+        kept, parts = sum(r["kept"] for r in result.collect()), result.rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {i: i - i % 4 for i in range(400) if i % 4}
+    assert kept == 150
+    assert len(rounds) > 1 and max(rounds[1:]) <= cores
+    assert len(written) > 5 and max(written[1:]) <= cores and parts <= cores
+    assert Scratch(spark, "test").files(10**9, 1 << 18) == 3815
+
+
+def test_components_grow_together_by_links_found_later(spark):
+    """Pairs that only the second comparison finds join components of the first one."""
+    scratch = Scratch(spark, "test")
+    labels = components(spark.createDataFrame([(1, 2), (2, 3), (5, 6), (8, 9)], "a long, b long"), scratch)
+    more = spark.createDataFrame([(3, 6), (20, 21)], "a long, b long")
+    found = {r["node"]: r["component"] for r in components(labels.toDF("a", "b").unionByName(more), scratch).collect()}
+    assert found == {2: 1, 3: 1, 5: 1, 6: 1, 9: 8, 21: 20}
+
+
 def brute_cut(rows):
     first = {}
     for i, text in rows:
